@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chronofold.llm.bpe import op4_bpe_round_trip
+from chronofold.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from chronofold.llm.html_text import op7_html_extraction
+from chronofold.llm.language_id import op6_language_id
 from chronofold.llm.packing import op9_best_fit_packing
+from chronofold.llm.quality import op2_quality
+from chronofold.llm.secrets import op3_secret_scan
 from chronofold.llm.token_counts import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op3_secret_scan": op3_secret_scan,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_token_counts": op5_token_counts,
+    "op6_language_id": op6_language_id,
+    "op7_html_extraction": op7_html_extraction,
+    "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
