@@ -172,8 +172,9 @@ class MinHash:
         best = np.full(self.k, 0xFFFFFFFFFFFFFFFF, np.uint64)
         x = shingles >> np.uint64(32)
         with np.errstate(over="ignore"):
-            for at in range(0, len(x), 256):
-                block = x[at : at + 256, None] * self.a
+            rows = max(1, 32_768 // self.k)
+            for at in range(0, len(x), rows):
+                block = x[at : at + rows, None] * self.a
                 block += self.b
                 np.minimum(best, block.min(axis=0), out=best)
         return (best >> np.uint64(32)).astype(np.uint32)

@@ -19,8 +19,9 @@ from chronofold.llm.common import MinHash, discard, map_slices, mix64, shingle_h
 
 #: Ids of candidate nodes that are broadcast (24 bytes each); beyond, their texts are found by a shuffled join.
 BROADCAST_ROWS = 500_000
-#: Passes over the lists in which one node is compared with the others; only then are pairs of large lists emitted.
-STAR_ROUNDS, LARGE_LIST = 4, 400
+#: Passes over the lists in which one node is compared with the others. Lists over LONG_LIST give way to prefixes of full
+#: sets. In the end what is left of the lists is compared in blocks of BLOCK nodes.
+STAR_ROUNDS, LONG_LIST, BLOCK = 1, 64, 1024
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, k: int, keys: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
@@ -108,82 +109,179 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def forest(sets: list[np.ndarray], parts: list, percent: int, split: int) -> list[tuple[int, int]]:
+    """Links between sets of different parts that join all parts which any link joins. With ``split`` below the number of
+    sets, only pairs across the two blocks count. Intersections come from products of incidence matrices.
+    """
+    size = np.array([len(s) for s in sets])
+    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    values = values[counts > 1]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    places = [np.searchsorted(values, s) for s in sets]
+    places = [p[(p < len(values)) & (values[np.minimum(p, len(values) - 1)] == s)] if len(values) else p[:0] for p, s in zip(places, sets, strict=True)]
+    for start in range(0, len(values), 4096):
+        m = np.zeros((len(sets), min(4096, len(values) - start)), np.float32)
+        for i, p in enumerate(places):
+            m[i, p[(p >= start) & (p < start + 4096)] - start] = 1
+        common += m @ m.T
+    common = common.astype(np.int64)
+    linked = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+    names = {c: i for i, c in enumerate(dict.fromkeys(parts))}
+    part = np.array([names[c] for c in parts])
+    linked &= part[:, None] != part[None, :]
+    if split < len(sets):
+        linked[:split, :split] = linked[split:, split:] = False
+    up = list(range(len(names)))
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+        a, b = root(part[i]), root(part[j])
+        if a != b:
+            up[a] = b
+            out.append((int(i), int(j)))
+    return out
+
+
+def links_in_lists(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links across components within each list (key, node, component, l), enough of them to join all that are linked.
+
+    A list is cut into blocks, and each pair of blocks is a unit of work that one task holds at a time; the sets of a
+    unit come to it, and pairs are formed in memory only.
+    """
+    blocks = F.ceil(F.col("l") / BLOCK)
+    own = F.pmod(F.xxhash64("node"), blocks)
+    units = posts.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    units = units.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component")
+    rows = units.join(sets.select("node", "shingles"), "node").select("key", "x", "y", "own", "node", "component", "shingles")
+
+    def run(batches):  # noqa: ANN001, ANN202
+        unit, held = None, []
+
+        def done():  # noqa: ANN202
+            if len(held) < 2:
+                return []
+            split = sum(r[3] == unit[1] for r in held) if unit[1] != unit[2] else len(held)
+            return [(held[i][4], held[j][4]) for i, j in forest([np.frombuffer(r[6], np.uint64) for r in held], [r[5] for r in held], percent, split)]
+
+        found: list = []
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                for r in zip(*(c.to_pylist() for c in batch.slice(start, 512).columns), strict=True):
+                    if r[:3] != unit:
+                        found += done()
+                        unit, held = r[:3], []
+                    held.append(r)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.binary()), pa.array([max(p) for p in found], pa.binary())], names=["a", "b"])
+                found = []
+        if found := found + done():
+            yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.binary()), pa.array([max(p) for p in found], pa.binary())], names=["a", "b"])
+
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "own").mapInArrow(run, "a binary, b binary").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, component (least node reachable) for all ends of the edges (a, b), by alternating large and small stars."""
-    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    before = None
+    """node, component (least node reachable) for all ends of the edges (a, b), by alternating large and small stars.
+
+    Ends when every edge leads to a node that leads nowhere: then each node hangs on the least of its component.
+    """
+    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     while True:
-        # Large star: of each node, its larger neighbours go to its least neighbour (or itself).
+        # Large star: of each node, its larger neighbours go to its least neighbour or itself.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = stored(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # Small star: of each node, its smaller neighbours and itself go to the least of them.
-        large = stored(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        after = stored(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        mark = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        after = stored(large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         discard(now, large)
         now = after
-        if mark == before:
+        if now.join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
             break
-        before = mark
-    # Each edge now leads to the least node of its component.
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def rare_shingle_posts(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """key and node for the nodes of long lists, by prefixes of their full sets instead of those lists.
+
+    With shingles in order of how many of these sets have them, two sets of the similarity share one among the rarest
+    n - ceil(percent n / 100) + 1 of each. Far copies of one text have too many rare ones to meet there. Also gives n and
+    rest, the number of shingles from this one on: two sets whose first common shingle this is share no more than that.
+    """
+    inside = sets.join(posts.where(F.col("length") > LONG_LIST).select("node").distinct(), "node").select("node", "shingles")
+
+    def run(batches):  # noqa: ANN001, ANN202
+        for batch in batches:
+            for node, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x = np.frombuffer(shingles, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([node] * len(x), pa.binary()), pa.array(x)], names=["node", "key"])
+
+    every = inside.mapInArrow(run, "node binary, key bigint")
+    shared = every.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    own = every.join(shared, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("sets", "key"))).alias("own"))
+    n = inside.select("node", (F.octet_length("shingles") / 8).cast("bigint").alias("n"))
+    room = (F.size("own") - F.ceil(percent * F.col("n") / 100) + 1).cast("int")  # those that no other set has come first
+    rows = own.join(n, "node").where(room > 0).select("node", "n", F.size("own").alias("shared"), F.posexplode(F.slice("own", F.lit(1), room)).alias("at", "x"))
+    return rows.select(F.xxhash64("x.key").alias("key"), "node", "n", (F.col("shared") - F.col("at")).cast("bigint").alias("rest"))
+
+
 def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, likely: Column, percent: int, id_col: str, text_col: str, size: int) -> DataFrame | None:
     """Components (node, component) of the verified links between nodes that share a key and are ``likely``.
 
     posts: key, node. ``likely`` speaks of the columns n, tokens, n2, tokens2 of two nodes. None: no links at all.
+
+    Nodes of long lists are posted anew under the rarest shingles of their full sets, which is exact too and keeps far
+    copies of one text, or texts with one common passage, from being compared pair by pair.
     """
     lists = posts.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
     posts = stored(posts.join(lists, "key").select("key", "node", "length"))
-    facts = nodes.select("node", "n", "tokens", "first_id")
-    wanted = stored(posts.select("node").distinct().join(facts, "node"))
+    wanted = stored(posts.select("node").distinct().join(nodes.select("node", "n", "tokens", "first_id"), "node"))
     if wanted.isEmpty():
         return None
     sets = stored(sets_of(docs, wanted, id_col, text_col, size))
+    facts = wanted.select("node", "n").join(posts.groupBy("node").agg(F.sum("length").alias("weight")), "node")
+    kept = posts.where(F.col("length") <= LONG_LIST).join(facts, "node").select("key", "node", "n", F.col("n").alias("rest"), "weight")
+    if not posts.where(F.col("length") > LONG_LIST).isEmpty():
+        kept = kept.unionByName(rare_shingle_posts(posts, sets, percent).join(facts.select("node", "weight"), "node"))
+    posts = stored(kept)
+    most = F.least("rest", "rest2")
+    close = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (100 * most >= percent * (F.col("n") + F.col("n2") - most))
 
     def links(pairs: DataFrame) -> DataFrame:
         a = wanted.select(F.col("node").alias("a"), "n", "tokens")
         b = wanted.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("tokens").alias("tokens2"))
         return verified(pairs.join(b, "b").join(a, "a").where(likely).select("a", "b"), sets, percent)
 
-    edges, labels, tried = None, None, None
+    labels = None
     for number in range(STAR_ROUNDS + 1):
-        if labels is None:
-            open_posts = posts.withColumn("component", F.col("node"))
-        else:
-            open_posts = posts.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            several = open_posts.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("length").alias("l")).where("x != y")
-            left = several.agg(F.count("*"), F.max("l")).first()
-            if not left[0]:
-                break
-            open_posts = stored(open_posts.join(several.select("key"), "key", "left_semi"))
-        last = number == STAR_ROUNDS or labels is not None and left[1] <= LARGE_LIST
-        if last:
-            a, b = open_posts.select("key", F.col("node").alias("a"), F.col("component").alias("ca")), open_posts.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = a.join(b, "key").where("a < b and ca != cb").select("a", "b").distinct()
-        else:
-            rank = F.xxhash64("node", F.lit(number))
-            leaders = open_posts.groupBy("key").agg(F.min_by(F.struct("node", "component"), rank).alias("leader"))
-            pairs = open_posts.join(leaders, "key").where("node != leader.node and component != leader.component")
-            pairs = pairs.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        found = stored(links(pairs))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        edges = found if edges is None else edges.unionByName(found)
-        if found.isEmpty() and last:
+        now = posts.withColumn("component", F.col("node")) if labels is None else posts.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        several = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("l")).where("x != y" if number == 0 else "x != y and l > 2")
+        now = stored(now.join(several.select("key", "l"), "key"))
+        if now.isEmpty():
             break
+        if number == STAR_ROUNDS:
+            found = stored(links_in_lists(now, sets, percent))
+        else:
+            # The node that shares most leads, as a text that others copy does; in later rounds that of another third.
+            mark = F.xxhash64("node", F.lit(number))
+            order = F.struct(F.when(F.lit(number == 0) | (F.pmod(mark, F.lit(3)) == 0), -F.col("weight")).otherwise(0), mark)
+            leaders = now.groupBy("key").agg(F.min(F.struct(order.alias("order"), *[F.col(c).alias(f"{c}2") for c in ("node", "component", "n", "rest")])).alias("x")).select("key", "x.*")
+            pairs = now.join(leaders, "key").where((F.col("component") != F.col("component2")) & close)
+            # Of several leaders a node is held against the foremost; only lists of two are settled at once.
+            ends = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+            first = pairs.where("l > 2").groupBy("node").agg(F.min_by("node2", "order").alias("other")).select(*ends)
+            both = first.unionByName(pairs.where("l = 2").withColumnRenamed("node2", "other").select(*ends)) if number == 0 else first
+            found = stored(links(both.distinct()))
         if not found.isEmpty():
-            labels = stored(components(edges))
-        elif labels is None:
-            labels = stored(nodes.select("node", F.col("node").alias("component")).limit(0))
-        if last:
-            break
+            before = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            labels = stored(components(before))
+        discard(now)
     return labels
 
 
