@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from chronofold.llm.common import MinHash, map_slices, mix64, read_table, shingles_of, stored, tasks_of, word_hashes
 from chronofold.llm.near import label_members, nodes_of, search, sketches
@@ -68,22 +67,18 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     cuts = sorted(set(ids.select(F.col("place").cast("double")).approxQuantile("place", [i / tasks for i in range(1, tasks)], max(1e-4, 0.1 / tasks)))) if tasks > 1 else []
     bounds = np.array([int(c) for c in cuts], np.int64)
 
-    @pandas_udf("int")
-    def part(place):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        return pd.Series(np.searchsorted(bounds, place.to_numpy(), side="right").astype(np.int32))
+    @F.arrow_udf("int")
+    def part(place: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(bounds, place.to_numpy(), side="right"), pa.int32())
 
     heads = {r["part"]: r["head"] for r in ids.groupBy(part("place").alias("part")).agg(F.min("place").alias("head")).collect()}  # one row for each task
     filled = sorted(heads)
     ahead = {heads[p]: filled[i - 1] for i, p in enumerate(filled)}
 
-    @pandas_udf("array<int>")
-    def parts(place):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        own = np.searchsorted(bounds, place.to_numpy(), side="right")
-        return pd.Series([[int(p), -1 - ahead[x]] if x in ahead else [int(p)] for p, x in zip(own, place.tolist(), strict=True)])
+    @F.arrow_udf("array<int>")
+    def parts(place: pa.Array) -> pa.Array:
+        own = np.searchsorted(bounds, place.to_numpy(), side="right").tolist()
+        return pa.array([[p, -1 - ahead[x]] if x in ahead else [p] for p, x in zip(own, place.to_pylist(), strict=True)], pa.list_(pa.int32()))
 
     dealt = rows.withColumn("to", F.explode(parts("place"))).withColumn("ahead", F.col("to") < 0).withColumn("to", F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")))
     return dealt.repartitionById(tasks, F.col("to")).sortWithinPartitions("ahead", "place", "text").select("doc_id", "text", "ahead")
@@ -102,8 +97,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         before: tuple[int | None, str, np.ndarray] | None = None
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for start in range(0, batch.num_rows, 256):
-                for doc, text, ahead in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns), strict=True):
+            for start in range(0, batch.num_rows, 64):
+                for doc, text, ahead in zip(*(c.to_pylist() for c in batch.slice(start, 64).columns), strict=True):
                     if ahead and before is None:
                         continue
                     own = f.of(text)
