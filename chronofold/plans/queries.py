@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronofold.functions import text
-from chronofold.operators import corrections, diff, events, repair, resolve, successors, temporal
+from chronofold.operators import corrections, diff, events, repair, resolve, successors, temporal, usage
 from chronofold.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -500,3 +500,35 @@ def q49_number_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q50_index_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of pages by a parser; tested on planted pages."""
     return readers.parse_index(table(spark, sf_dir, "pages"), suffix=None).select("page", "position", "url", "title", "doc_id")
+
+
+@register(f"""WITH {MOVES}, u AS (SELECT entity, category, min(eff) AS since, max(eff) AS until FROM l GROUP BY ALL), c AS (SELECT DISTINCT entity, category FROM v WHERE t_number IS NULL AND t_again IS NULL),
+w AS (SELECT entity, "from" AS category, max(eff) AS away FROM m GROUP BY ALL), x AS (SELECT u.*, c.entity IS NOT NULL AS cur, away, CASE WHEN category IN ('AF', 'RF') THEN DATE '1997-06-01' END AS retired FROM u LEFT JOIN c USING (entity, category) LEFT JOIN w USING (entity, category)),
+y AS (SELECT *, CASE WHEN cur THEN NULL ELSE coalesce(away, until) END AS e FROM x)
+SELECT entity, category, CAST(since AS VARCHAR) AS since, CAST(CASE WHEN retired IS NOT NULL AND (e IS NULL OR retired < e) THEN retired ELSE e END AS VARCHAR) AS "end",
+CASE WHEN retired IS NOT NULL AND (e IS NULL OR retired < e) THEN 'abolished' WHEN cur THEN 'in use' WHEN away IS NOT NULL THEN 'moved' ELSE 'not listed again' END AS end_reason FROM y""")
+def q51_usage_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = listing(spark, sf_dir)
+    used = events.code_usage(rows).withColumn("code", F.col("category")).select("entity", "category", "code", "since", "until")
+    retired = spark.createDataFrame([("AF",), ("RF",)], "code string").withColumn("retired", F.lit("1997-06-01").cast("date"))
+    out = usage.usage_periods(used, events.current_state(rows), events.category_moves(rows), retired)
+    return out.select("entity", "category", F.col("since").cast("string").alias("since"), F.col("end").cast("string").alias("end"), "end_reason")
+
+
+@register("""WITH r AS (SELECT o_custkey AS entity, o_orderpriority AS code, CAST(o_orderdate AS DATE) AS since, CASE WHEN o_orderstatus = 'P' THEN 'listed' ELSE 'inferred' END AS source, o_orderkey FROM orders),
+k AS (SELECT *, max(CASE WHEN source <> 'inferred' THEN 1 ELSE 0 END) OVER (PARTITION BY entity, code) AS listed, row_number() OVER (PARTITION BY entity, code ORDER BY source = 'inferred', since) AS n FROM r)
+SELECT entity, code, CAST(since AS VARCHAR) AS since, source FROM k WHERE source <> 'inferred' OR (listed = 0 AND n = 1)""")
+def q52_listed_over_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity"), F.col("o_orderpriority").alias("code"), F.to_date("o_orderdate").alias("since"), F.when(F.col("o_orderstatus") == "P", "listed").otherwise("inferred").alias("source"))
+    return usage.prefer_listed(o).withColumns(iso("since"))
+
+
+@register(f"""WITH {ORDERS}, h AS (SELECT o_custkey AS code, d, CAST(round(price * 100) AS BIGINT) AS price, nullif(priority, '5-LOW') AS name, CASE WHEN priority = '1-URGENT' THEN d + 30 END AS retired FROM o),
+x AS (SELECT *, lag(price) OVER w AS p0, lag(name) OVER w AS n0, row_number() OVER w AS n FROM h WINDOW w AS (PARTITION BY code ORDER BY d)), u AS (SELECT c_nationkey AS entity, c_custkey AS code, DATE '1994-06-01' AS since FROM customer)
+SELECT entity, code, CAST(d AS VARCHAR) AS event_date, 'price_revision' AS type, CAST(p0 AS VARCHAR) AS before, CAST(price AS VARCHAR) AS after FROM x JOIN u USING (code) WHERE n > 1 AND d > since AND d <= DATE '1998-01-01' AND price IS DISTINCT FROM p0
+UNION ALL SELECT entity, code, CAST(d AS VARCHAR), 'category_renamed', n0, name FROM x JOIN u USING (code) WHERE n > 1 AND d > since AND d <= DATE '1998-01-01' AND n0 <> name
+UNION ALL SELECT entity, code, CAST(r AS VARCHAR), 'category_abolished', NULL, NULL FROM (SELECT code, last(retired ORDER BY d) AS r FROM h GROUP BY 1) JOIN u USING (code) WHERE r IS NOT NULL""")
+def q53_master_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = order_history(spark, sf_dir).select(F.col("o_custkey").alias("code"), F.col("d").alias("valid_from"), F.round(F.col("price") * 100).cast("bigint").alias("price"), F.nullif("priority", F.lit("5-LOW")).alias("name"), F.when(F.col("priority") == "1-URGENT", F.date_add("d", 30)).alias("retired"))
+    used = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("entity"), F.col("c_custkey").alias("code"), F.lit("1994-06-01").cast("date").alias("since"))
+    return usage.master_events(used, h, F.lit("1998-01-01").cast("date")).withColumns(iso("event_date"))

@@ -5,7 +5,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from chronofold.operators import corrections, diff, events, projections, repair, resolve, successors, temporal
+from chronofold.operators import corrections, diff, events, projections, repair, resolve, successors, temporal, usage
 from chronofold.sources import readers, writers
 from chronofold.streaming import incremental
 
@@ -159,3 +159,12 @@ def test_reconcile_and_supersede(spark):
     a, b = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double"), spark.createDataFrame([(2, 2.2), (3, 1.0)], "k int, v double")
     assert rows(diff.reconcile(a, b, ["k"], "v"), "kind", "n") == [("equal", 1), ("only_left", 1), ("only_right", 1)]
     assert rows(diff.upsert(a, b, ["k"]), "k", "v") == [(1, 1.0), (2, 2.2), (3, 1.0)]
+
+
+def test_inferred_usage_follows_single_successors(spark):
+    d = date
+    ended = spark.createDataFrame([("A", "c1"), ("B", "x1")], "entity string, code string")
+    edges = spark.createDataFrame([("c1", "c2"), ("c2", "c3"), ("x1", "x2"), ("x1", "x3"), ("c3", "c4")], "code string, next string")
+    retired = spark.createDataFrame([("c1", d(2015, 9, 30)), ("c2", d(2018, 3, 31)), ("c3", None), ("x1", d(2016, 1, 1))], "code string, retired date")
+    got = usage.inferred_usage(ended, edges, retired)
+    assert rows(got, "entity", "code", "since", "until") == [("A", "c2", d(2015, 10, 1), d(2018, 3, 31)), ("A", "c3", d(2018, 4, 1), None)]
