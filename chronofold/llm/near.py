@@ -189,7 +189,7 @@ def links_in_lists(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 def components(edges: DataFrame) -> DataFrame:
     """node, component (least node reachable) for all ends of the edges (a, b), by alternating large and small stars.
 
-    Ends when every edge leads to a node that leads nowhere: then each node hangs on the least of its component.
+    Ends when every node has one edge at most, to a node that leads nowhere: then each hangs on the least of its component.
     """
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     while True:
@@ -202,7 +202,8 @@ def components(edges: DataFrame) -> DataFrame:
         after = stored(large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         discard(now, large)
         now = after
-        if now.join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
+        split = now.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+        if now.join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u").unionByName(split).isEmpty():
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 

@@ -149,6 +149,37 @@ def test_components_of_a_path(spark):
     assert len(got) == 42 and {got[name(i)] for i in range(40)} == {min(name(i) for i in range(40))} and got[name(50)] == got[name(51)] == min(name(50), name(51))
 
 
+def least_reachable(edges):
+    """node and the least node of its component, by union."""
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        up[b] = a
+    return sorted((x, root(x)) for x in up)
+
+
+def random_graph(seed):
+    """A random path or tree of 3 to 15 nodes."""
+    draw = random.Random(seed)
+    names = list(range(draw.randint(3, 15)))
+    draw.shuffle(names)
+    return [(names[i], names[i - 1 if seed % 2 else draw.randrange(i)]) for i in range(1, len(names))]
+
+
+# The first splits when every target merely leads nowhere, as do the paths and trees of these seeds; the last is 400 graphs at once.
+@pytest.mark.parametrize("edges", [[(1, 4), (4, 3), (3, 5), (5, 2)], *map(random_graph, (15, 26, 44, 65)), [(100 * s + a, 100 * s + b) for s in range(400) for a, b in random_graph(s)]])
+def test_components_have_one_row_a_node(spark, edges):
+    pairs = spark.createDataFrame([(a.to_bytes(16, "big"), b.to_bytes(16, "big")) for a, b in edges], "a binary, b binary")
+    got = sorted((int.from_bytes(r["node"], "big"), int.from_bytes(r["component"], "big")) for r in near.components(pairs).collect())
+    assert got == least_reachable(edges)
+
+
 def test_word_hashes():
     a, b = common.word_hashes(b" One two\nTHREE  one\x0b"), common.word_hashes(b"one TWO three one")
     assert a.tolist() == b.tolist() and a[0] == a[3] and len(set(a.tolist())) == 3
