@@ -469,12 +469,11 @@ SELECT DISTINCT d.code, n.code AS successor FROM d JOIN (SELECT DISTINCT name, c
 def q47_successors(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").where("o_custkey % 5 = 0").withColumn("f", F.to_date("o_orderdate"))
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    h = o.select(F.col("o_custkey").alias("code"), F.col("f").alias("valid_from"), F.lead("f").over(w).alias("valid_to"), F.lit("2").alias("schedule"), F.col("o_orderpriority").alias("name"), "o_orderkey")
+    h = o.select(F.col("o_custkey").alias("code"), F.col("f").alias("valid_from"), F.lead("f").over(w).alias("valid_to"), F.lit("2").alias("schedule"), F.col("o_orderpriority").alias("name"), F.lit(None).cast("date").alias("retired"), "o_orderkey")
+    # A code's end is a version of its own, never in force, so that an ended code may still succeed another, as in the SQL.
     last = h.groupBy("code").agg(F.max_by("name", F.struct("valid_from", "o_orderkey")).alias("name"), F.max("valid_from").alias("f")).where("code % 2 = 0")
-    ended = last.select("code", F.date_add("f", 30).alias("day"), "name")
-    named, alive = h.select("name", F.col("code").alias("successor")).distinct(), h.select(F.col("code").alias("successor"), "valid_from", "valid_to")
-    day = F.date_add("day", 1)
-    return ended.join(named, "name").where("code <> successor").join(alive, "successor").where((F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (day < F.col("valid_to")))).select("code", "successor").distinct()
+    ends = last.select("code", F.date_add("f", 1).alias("valid_from"), F.date_add("f", 1).alias("valid_to"), F.lit("2").alias("schedule"), "name", F.date_add("f", 30).alias("retired"))
+    return successors.successors(h.drop("o_orderkey").unionByName(ends))
 
 
 @register()
