@@ -49,3 +49,9 @@ def test_q47_is_the_operator(spark, monkeypatch):
     con.execute(f"CREATE VIEW orders AS SELECT * REPLACE (o_custkey * 5 AS o_custkey) FROM '{SF}/orders.parquet'")
     expected = con.execute(ORACLE_SQL["q47_successors"]).fetchall()
     assert len(calls) == 1 and len(expected) > 1000 and plain(found) == plain(expected)
+
+
+def test_q48_asks_for_all_parts(spark, con):
+    found = {r["category"] for r in QUERIES["q48_category_candidates"](spark, SF).select("category").collect()}
+    expected = {r[0] for r in con.execute("SELECT DISTINCT lpad(CAST(p_size % 50 AS VARCHAR), 3, '0') || ' ' || p_name FROM part").fetchall()}
+    assert found == expected
