@@ -1,6 +1,7 @@
 """Operator 7: main text of web pages by composite text density.
 
-A page becomes a tree. Subtrees that are never article text go. Every other node gets a density, its characters for
+A page becomes a tree. Subtrees that are never article text go; a name alone lets none go that holds the article or most
+of the text. Every other node gets a density, its characters for
 each tag adjusted by the share of links, and the sum of its children's densities. The node of the largest sum among
 those as dense as the path from the densest node to the body is the article; where it lies inside an element that
 marks an article, that element is taken whole. Its blocks make the text.
@@ -45,6 +46,7 @@ MARKS = frozenset(
     "complementary contentinfo search skip".split()
 )
 KEPT_MARKS = frozenset(("article", "main"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)|</[^a-zA-Z][^>]*(?:>|$)", re.DOTALL)
 _BROKEN = re.compile(r"<(?:/?[a-zA-Z]|!)[^>]*$", re.DOTALL)
@@ -53,10 +55,10 @@ _WORD = re.compile(r"[A-Za-z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "marked", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "dropped", "marked", "named", "chars", "links", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, marked: bool = False) -> None:
-        self.tag, self.parent, self.dropped, self.marked = tag, parent, dropped, marked
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, marked: bool = False, named: bool = False) -> None:
+        self.tag, self.parent, self.dropped, self.marked, self.named = tag, parent, dropped, marked, named
         self.children: list[Node | str] = []
         self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
@@ -66,11 +68,16 @@ def is_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
     """Whether an element is never article text. A header inside an article belongs to it."""
     if tag in DROPPED or tag == "header" and not inside:
         return True
-    if "hidden" in attributes and re.search(r"(?:^|\s)hidden(?=[\s=/]|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)):
-        return True
+    return "hidden" in attributes and re.search(r"(?:^|\s)hidden(?=[\s=/]|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)) is not None
+
+
+def is_named_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether names mark an element as no article text. Ids of headings and inside articles are those of links to them."""
     if tag in ("html", "body", "article", "main") or not attributes or "=" not in attributes:
         return False
     for name, *values in _NAMES.findall(attributes):
+        if name.lower() == "id" and (inside or tag in HEADINGS):
+            continue
         value = "".join(values)
         for part in value.split():
             words = [w.lower() for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", part))]
@@ -81,9 +88,43 @@ def is_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
+def drop_named(root: Node) -> None:
+    """Drops the elements that names mark, but not those that hold the article or most of the page's text.
+
+    An element that holds an article goes only if there is another outside and most text is outside too, as comments do.
+    """
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(c for c in node.children if not isinstance(c, str) and not c.dropped)
+    chars: dict[Node, int] = {}
+    holds: dict[Node, bool] = {}
+    for node in reversed(order):
+        kept = [c for c in node.children if not isinstance(c, str) and not c.dropped]
+        chars[node] = sum(len(c) - c.count(" ") - c.count("\n") for c in node.children if isinstance(c, str)) + sum(chars[c] for c in kept)
+        holds[node] = any(c.tag in KEPT_MARKS or holds[c] for c in kept)
+    articles, now = 0, [(root, 0)]
+    while now:
+        named = []
+        while now:
+            node, above = now.pop()
+            if node.tag in KEPT_MARKS:
+                articles, above = articles + 1, above + 1
+            for c in node.children:
+                if not isinstance(c, str) and not c.dropped:
+                    (named if c.named else now).append((c, above))
+        for node, above in named:
+            alone, most = articles == above, 2 * chars[node] > chars[root]
+            if holds[node] and (alone or most) or most and (alone or above):
+                now.append((node, above))
+            else:
+                node.dropped = True
+
+
 def parse(page: str) -> Node:
     """The tree, with implied ends of paragraphs, items and cells; end tags that match nothing are ignored."""
-    root = Node("#root", None)
+    root, named = Node("#root", None), False
     here, at, size = root, 0, len(page)
     search = _TOKEN.search
     while True:
@@ -94,6 +135,8 @@ def parse(page: str) -> Node:
                 tail = tail[: broken.start()]  # the page ends inside a tag
             if tail:
                 here.children.append(tail)
+            if named:
+                drop_named(root)
             return root
         if m.start() > at:
             here.children.append(page[at : m.start()])
@@ -129,7 +172,9 @@ def parse(page: str) -> Node:
                 node = node.parent
         attributes = m[3]
         inside = here.marked
-        child = Node(tag, here, here.dropped or is_boilerplate(tag, attributes, inside), inside or tag in KEPT_MARKS)
+        dropped = here.dropped or is_boilerplate(tag, attributes, inside)
+        child = Node(tag, here, dropped, inside or tag in KEPT_MARKS, not dropped and is_named_boilerplate(tag, attributes, inside))
+        named = named or child.named
         here.children.append(child)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK and tag not in RAW:
             continue

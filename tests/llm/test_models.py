@@ -101,6 +101,30 @@ def test_main_text(page):
     assert html_text.main_text(page) == "T&C\n\nA long first paragraph with many plain words inside it.\n\nSecond one <ok> with bold words, and a break too."
 
 
+LONGER = "<p>" + "More of the text, in many plain words that follow each other. " * 4
+
+
+@pytest.mark.parametrize(
+    ("page", "lost"),
+    [
+        (f"<body><div class='layout has-sidebar'><article>{ARTICLE}</article><div class='sidebar'>Side text</div></div>", "Side"),
+        (f"<body><div class='layout has-sidebar'><article>{ARTICLE}</article><div class='comments'><article>I like it</article></div></div>", "like"),
+        (f"<main><div class='page with-sidebar'><article>{ARTICLE}</article></div><div class='sidebar'><p>More links</p></div></main>", "More"),
+        (f"<body><div class='with-sidebar'><p>{ARTICLE}</div><div class='promo'>Buy now</div>", "Buy"),
+        (f"<article><div class='post-widget'>{ARTICLE}</div><div class='ad'>Buy now</div></article>", "Buy"),
+        (f"<article>{ARTICLE}</article><div class='comments'><article>{ARTICLE[:60]}</article></div>", "Tand"),
+    ],
+)
+def test_names_alone_lose_no_article(page, lost):
+    assert html_text.main_text(page) == "T&C\n\nA long first paragraph with many plain words inside it.\n\nSecond one <ok> with bold words, and a break too." and lost not in html_text.main_text(page)
+
+
+@pytest.mark.parametrize("name", ["related-work", "search", "notices"])
+def test_ids_of_headings_and_inside_articles(name):
+    assert html_text.main_text(f"<article>{ARTICLE}<h2 id='{name}'>Head</h2><p id={name}>End</article>").endswith("\n\nHead\n\nEnd")
+    assert "Head" in html_text.main_text(f"<div>{ARTICLE}<h2 id='{name}'>Head</h2>{LONGER}</div>")
+
+
 def test_page_rows(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "plain &amp text"), (4, "u", "<p>cut off <b"), (4, "u", "<script>only</script>"), (None, "u", "<table><tr><td>a<td>b</table>"), (5, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     got = {(r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
