@@ -27,6 +27,9 @@ KINDS = ("assign", "access", "hex", "markov")
 #: Candidates for the models, and the log-likelihood ratio (in nats, over the whole token) from which one is a secret.
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 TOKEN_LEAST, THRESHOLD = 20, 12.0
+#: Nats for each character that tokens without a digit or a letter must have too, above most long names; and
+#: what rests under TOKEN_LEAST beside base findings must have, as a path or label before a key has up to about 30.
+EACH_LEAST, REST_LEAST = 3.5, 40.0
 #: Documents, at most, from which ordinary identifiers are taken; random strings that are drawn for the other class.
 TRAINING_DOCUMENTS, RANDOM_STRINGS = 3000, 20_000
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
@@ -104,17 +107,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda s: (s[1], s[0]))
 
 
+def outside(start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What the base findings, by start, leave of a candidate."""
+    out = []
+    for _, s, e in base:
+        if s < end and start < e:
+            if start < s:
+                out.append((start, s))
+            start = e
+    return [*out, (start, end)] if start < end else out
+
+
+def is_random(token: str, model: Markov) -> bool:
+    """Whether the ratio speaks for a random string. Rules of signs alone, without a letter or digit, are none."""
+    digit, letter = any(c.isdigit() for c in token), any(c.isalpha() for c in token)
+    if not digit and not letter:
+        return False
+    least = THRESHOLD if len(token) >= TOKEN_LEAST else REST_LEAST
+    return model.score(token) > (least if digit and letter else max(least, EACH_LEAST * len(token)))
+
+
 def all_spans(text: str, model: Markov) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """The base findings, and those with what the models add outside them."""
     base = base_spans(text)
     more = []
     if any(len(w) >= TOKEN_LEAST for w in text.split()):
         for m in TOKEN.finditer(text):
-            start, end = m.span()
-            if any(s < end and start < e for _, s, e in base):
-                continue
-            if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]) and model.score(m[0]) > THRESHOLD:
-                more.append((3, start, end))
+            more += [(3, start, end) for start, end in outside(*m.span(), base) if is_random(text[start:end], model)]
     return base, sorted(base + more, key=lambda s: (s[1], s[0])) if more else base
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +86,20 @@ def test_markov_models_tell_classes_apart(docs):
     assert sum(model.score(t) > secrets.THRESHOLD for t in names) <= 0.01 * len(names)
 
 
+def test_every_candidate_is_scored(docs):
+    """Keys of letters alone, and what a base finding leaves on both sides of it; names, rules and labels stay."""
+    model = secrets.labelled_model(docs)
+    draw = np.random.Generator(np.random.PCG64(5))
+    letters = ["".join(np.array(list(secrets.SYMBOLS[:52]))[draw.integers(0, 52, n)]) for n in [20, 24, 32] * 100]
+    assert sum(secrets.all_spans(f"see {t} here", model)[1] == [(3, 4, 4 + len(t))] for t in letters) >= 0.95 * len(letters)
+    key, run = "x7Kq92LmZt4RbV8sYW", "0f3a9c5e7b1d2468ace0f3b5"
+    assert secrets.all_spans(f"see {key}{run}{key} here", model)[1] == [(3, 4, 22), (2, 22, 46), (3, 46, 64)]
+    assert secrets.mask(f"see {key}{run}{key} here", model) == "see [SECRET][SECRET][SECRET] here"
+    for t in ("AbstractSingletonProxyFactoryBean", "ABSTRACT_SINGLETON_PROXY_FACTORY", "-" * 40, "_" * 40, "12345678901234567890123", "src/main/java/org/apache/spark"):
+        assert secrets.all_spans(f"see {t} here", model)[1] == [], t
+    assert secrets.all_spans(f"at blob/{run}", model)[1] == [(2, 8, 32)]
+
+
 ARTICLE = "<h1>T&amp;C</h1><p>A long  first\nparagraph with many plain words inside it.<p>Second one &lt;ok&gt; with <b>bold</b> words, and<br>a break too."
 
 
