@@ -175,13 +175,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return map_slices(docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")), "doc_id bigint, lang_pred string, score double", make)
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows whose language is known with a probability of ``least`` or more, with all their columns."""
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows whose language is predicted, with whatever probability, and all their columns; ``und`` alone goes."""
     at = docs.columns.index(text_col)
 
     def run(batches):  # noqa: ANN001, ANN202
         for batch in batches:
-            yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in map(model.predict, batch.column(at).to_pylist())], pa.bool_()))
+            yield batch.filter(pa.array([x != UNKNOWN for x, _ in map(model.predict, batch.column(at).to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

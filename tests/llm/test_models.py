@@ -38,6 +38,14 @@ def test_language_edges(spark, docs):
     assert language_id.identify(df, empty).where("lang_pred = 'und'").count() == df.count()
 
 
+def test_unsure_languages_stay(spark):
+    class Unsure:
+        def predict(self, text):
+            return ("und", 0.0) if text == "12" else ("en", 0.3)
+
+    assert [r["text"] for r in language_id.keep_identified(frame(spark, ["some word", "12"]), Unsure()).collect()] == ["some word"]
+
+
 def test_quality_held_out(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = QUERIES["op2_quality"](spark, SF).join(labels, "doc_id").collect()
