@@ -22,10 +22,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[list[list]]:
     """Columns of each batch as Python lists, cut so that one slice holds about SLICE_BYTES of column ``text``."""
     for batch in batches:
-        sizes = batch.column(text).nbytes / max(1, batch.num_rows)
-        step = max(1, int(SLICE_BYTES / max(1.0, sizes)))
-        for start in range(0, batch.num_rows, step):
-            part = batch.slice(start, step)
+        for part in cut(batch, text):
             yield [c.to_pylist() for c in part.columns]
 
 
@@ -47,6 +44,38 @@ def map_slices(df: DataFrame, schema: str, make: Callable[[], Callable[[list[lis
     return df.mapInArrow(run, kinds)
 
 
+def cut(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts, without a copy, of about SLICE_BYTES of column ``text`` each."""
+    step = max(1, int(SLICE_BYTES / max(1.0, batch.column(text).nbytes / max(1, batch.num_rows))))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
+
+
+def filter_texts(docs: DataFrame, text_col: str, stays: Callable[[str | None], bool]) -> DataFrame:
+    """The rows, with all columns, whose text ``stays``."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in cut(batch, at):
+                yield part.filter(pa.array([stays(t) for t in part.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def replace_texts(docs: DataFrame, text_col: str, change: Callable[[str], str]) -> DataFrame:
+    """All rows and columns, with each text changed; null texts stay null."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in cut(batch, at):
+                texts = [None if t is None else change(t) for t in part.column(at).to_pylist()]
+                yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir. Where the setting is missing (local runs, tests) a local one is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructType
 
-from chronofold.llm.common import map_slices, read_table, stored, tasks_of
+from chronofold.llm.common import cut, map_slices, read_table, stored, tasks_of
 
 #: The characters that don't count: fixed values of the contract, [\x20\x09-\x0D].
 IGNORED = b" \t\n\v\f\r"
@@ -174,15 +174,80 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return joined.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"), keep.eqNullSafe(F.col("doc_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "size")
 
 
+def _winners(bodies: list[bytes], sizes: list[int], ids: list) -> list[int]:
+    """The places of the rows that stay among some, one for each different text."""
+    best: dict[bytes, int] = {}
+    for i, body in enumerate(bodies):
+        j = best.setdefault(body, i)
+        if j != i and _better((sizes[i], ids[i]), (sizes[j], ids[j])):
+            best[body] = i
+    return list(best.values())
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Of rows that tie in id and text, one stays."""
-    groups = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__keep"), "text_sha256").distinct()
-    digest = F.sha2(F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), " \t\n\v\f\r", "").cast("binary"), 256)
-    marked = docs.withColumn("__digest", digest)
-    kept = marked.join(groups, marked[id_col].cast("bigint").eqNullSafe(groups["__keep"]) & (marked["__digest"] == groups["text_sha256"]), "left_semi")
-    # Copies under one id: the longest text stays, then any of the equals.
-    names = docs.columns
-    return kept.groupBy(F.col(id_col).alias("__id"), "__digest").agg(F.max_by(F.struct(*names), F.coalesce(F.length(text_col), F.lit(0))).alias("__row")).select("__row.*")
+    """The rows of ``docs`` that stay, with all their columns. Of rows that tie in id and text, one stays.
+
+    Rows of equal text are first thinned in the scan task; what is left goes once, as whole rows, to the owner of its
+    key. Null texts count as empty. Columns may have any names but those of clashing case.
+    """
+    spark = docs.sparkSession
+    body = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), IGNORED.decode(), "").cast("binary")
+    key = F.conv(F.substring(F.sha2(body, 256), 1, 4), 16, 10).cast("int")
+    counts = {r["cell"]: r["count"] for r in docs.select(key.alias("cell")).groupBy("cell").count().collect()}  # 65,536 rows at most
+    tasks = tasks_of(spark)
+    owner_of = owners(directory(counts), counts, tasks)
+    names = [f"c{i}" for i in range(len(docs.columns))]  # the columns by place, so that no name clashes
+    plain = docs.toDF(*names)
+    at = docs.columns.index(text_col)
+    kinds = StructType([*plain.schema.fields, *StructType().add("id", LongType()).add("body", BinaryType()).add("size", LongType()).fields])
+    size = F.coalesce(F.length(F.col(names[at]).cast("string")), F.lit(0)).cast("bigint")
+    own_id = F.col(names[docs.columns.index(id_col)]).cast("bigint")
+    rows = plain.select(*names, own_id.alias("id"), F.col(names[at]).cast("string").cast("binary").alias("body"), size.alias("size"))
+    width, dealt = len(names), StructType([*kinds.fields, *StructType().add("key", LongType()).add("owner", IntegerType()).fields])
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def emit(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts)
+            bodies = [(b or b"").translate(None, IGNORED) for b in table.column(width + 1).to_pylist()]
+            stay = _winners(bodies, table.column(width + 2).to_pylist(), table.column(width).to_pylist())
+            table = table.take(pa.array(stay, pa.int64()))
+            keys = [_key(hashlib.sha256(bodies[i]).digest()) for i in stay]
+            cells = (np.array(keys, np.int64).astype(np.uint64) >> np.uint64(64 - MAX_DEPTH)).astype(np.int64)
+            table = table.set_column(width + 1, "body", pa.array([bodies[i] for i in stay], pa.binary()))
+            table = table.append_column("key", pa.array(keys, pa.int64())).append_column("owner", pa.array(owner_of[cells], pa.int32()))
+            return table.combine_chunks().to_batches()
+
+        held, kept = [], 0
+        for batch in batches:
+            for part in cut(batch, width + 1):
+                held.append(part)
+                kept += part.column(width + 1).nbytes
+                if kept > HELD_BYTES // 4:
+                    yield from emit(held)
+                    held, kept = [], 0
+        if held:
+            yield from emit(held)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in the order of keys. The winners so far of the last key are carried from part to part."""
+        carried: pa.Table | None = None
+        for batch in batches:
+            for part in cut(batch, width + 1):
+                table = pa.Table.from_batches([part])
+                if carried is not None:
+                    table = pa.concat_tables([carried, table])
+                keys = table.column(width + 3).to_pylist()
+                bodies = table.column(width + 1).to_pylist()
+                stay = sorted(_winners(bodies, table.column(width + 2).to_pylist(), table.column(width).to_pylist()))
+                open_, done = [i for i in stay if keys[i] == keys[-1]], [i for i in stay if keys[i] != keys[-1]]
+                carried = table.take(pa.array(open_, pa.int64()))
+                yield from table.select(range(width)).take(pa.array(done, pa.int64())).combine_chunks().to_batches()
+        if carried is not None:
+            yield from carried.select(range(width)).combine_chunks().to_batches()
+
+    local = rows.mapInArrow(thin, dealt)
+    kept = local.repartitionById(tasks, F.col("owner")).sortWithinPartitions("key").mapInArrow(own, plain.schema)
+    return kept.toDF(*docs.columns)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,9 +127,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     members = stored(sketches(docs, id_col, text_col, SHINGLE, BANDS * BAND_ROWS, bands))
     nodes = stored(nodes_of(members))
-    likely = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-    labels = search(docs, nodes, nodes.select("node", F.explode("tokens").alias("key")).distinct(), likely, percent, id_col, text_col, SHINGLE)
-    return label_members(members.select("doc_id", "n", "node"), nodes.select("node", "first_id"), labels)
+    labels = search(docs, nodes, nodes.select("node", F.explode("tokens").alias("key")).distinct(), 1, percent, id_col, text_col, SHINGLE)
+    return label_members(members.select("node", "n", "ids", "marks"), nodes.select("node", "first_id"), labels).drop("mark")
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

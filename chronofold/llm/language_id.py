@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import crc_text, map_slices, read_table, slices
+from chronofold.llm.common import crc_text, filter_texts, map_slices, read_table, slices
 
 BITS, ORDERS = 15, (1, 2, 3)
 #: Labelled documents of each language, at most about so many, on which the regression is fitted. Document frequencies
@@ -30,15 +30,14 @@ def letter_table() -> np.ndarray:
     """Which code points are letters."""
     global _letters
     if _letters is None:
-        _letters = np.fromiter((chr(i).isalpha() for i in range(0x30000)), bool, 0x30000)
+        _letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
     return _letters
 
 
 def grams(text: str) -> np.ndarray | None:
     """Counts of hashed n-grams of the lower-case letters, with runs of anything else as one border; None without a letter."""
     x = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    table = letter_table()
-    letter = table[np.minimum(x, len(table) - 1)]
+    letter = letter_table()[x]
     if not letter.any():
         return None
     keep = letter.copy()
@@ -163,7 +162,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score for each row. Null texts and texts without a letter give ``und`` and 0."""
+    """doc_id, lang_pred, score for each row. Null texts and texts without a letter give ``und`` and 0.
+
+    Very long texts are taken whole. Of languages with equal probability the first by name is told. Null and repeated ids
+    stay; other columns, whatever their names, aren't read.
+    """
 
     def make():  # noqa: ANN202
         def step(columns: list[list]) -> list[list]:
@@ -177,13 +180,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows whose language is predicted, with whatever probability, and all their columns; ``und`` alone goes."""
-    at = docs.columns.index(text_col)
-
-    def run(batches):  # noqa: ANN001, ANN202
-        for batch in batches:
-            yield batch.filter(pa.array([x != UNKNOWN for x, _ in map(model.predict, batch.column(at).to_pylist())], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return filter_texts(docs, text_col, lambda text: model.predict(text)[0] != UNKNOWN)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

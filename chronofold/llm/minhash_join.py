@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronofold.llm.common import read_table, stored
-from chronofold.llm.near import label_members, nodes_of, search, sketches
+from chronofold.llm.near import label_members, mark_of, nodes_of, search, sketches
 
 COORDINATES, MISS = 32, 1e-7
 
@@ -41,18 +41,33 @@ def prefix_posts(nodes: DataFrame, k: int, threshold: int) -> DataFrame:
     return own.where(room > 0).select("node", F.explode(F.slice("own", 1, room)).alias("x")).select("node", F.col("x.key").alias("key"))
 
 
+def near_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, k: int = COORDINATES) -> DataFrame:
+    """As near_components, with ``mark``, a hash that tells the texts of one id apart."""
+    threshold = match_threshold(k, percent / 100)
+    members = stored(sketches(docs, id_col, text_col, size, k))
+    nodes = stored(nodes_of(members))
+    labels = search(docs, nodes, prefix_posts(nodes, k, threshold), threshold, percent, id_col, text_col, size)
+    return label_members(members.select("node", "n", "ids", "marks"), nodes.select("node", "first_id"), labels)
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, k: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable over links) and kept for each row.
 
     Links are pairs with 100 * intersection >= percent * union of their sets of ``size``-word shingles. Null, empty and
-    wordless texts have no shingles and link with nothing. Rows of one id count as one document with several texts.
+    wordless texts have no shingles and link with nothing. Rows of one id count as one document with several texts. Very
+    long texts are taken whole. Other columns, whatever their names, aren't read.
     """
-    threshold = match_threshold(k, percent / 100)
-    members = stored(sketches(docs, id_col, text_col, size, k))
-    nodes = stored(nodes_of(members))
-    likely = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.size(F.array_intersect("tokens", "tokens2")) >= threshold)
-    labels = search(docs, nodes, prefix_posts(nodes, k, threshold), likely, percent, id_col, text_col, size)
-    return label_members(members.select("doc_id", "n", "node"), nodes.select("node", "first_id"), labels)
+    return near_rows(docs, id_col, text_col, size, percent, k).drop("mark")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each group of near-duplicates the row of the least id.
+
+    Rows with equal id and text stay or go together; exact deduplication leaves one of them. Texts without words stay.
+    """
+    kept = near_rows(docs, id_col, text_col, size, percent).where("kept").select("doc_id", "mark").distinct()
+    same = docs[id_col].cast("bigint").eqNullSafe(kept["doc_id"]) & (mark_of(docs[text_col]) == kept["mark"])
+    return docs.join(kept, same, "left_semi")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,26 +8,37 @@ Lists whose nodes are then still in several components give their remaining pair
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import MinHash, discard, map_slices, mix64, shingle_hashes, stored
+from chronofold.llm.common import MinHash, discard, map_slices, mix64, shingle_hashes, slices, stored
 
 #: Ids of candidate nodes that are broadcast (24 bytes each); beyond, their texts are found by a shuffled join.
 BROADCAST_ROWS = 500_000
 #: Passes over the lists in which one node is compared with the others. Lists over LONG_LIST give way to prefixes of full
-#: sets. In the end what is left of the lists is compared in blocks of BLOCK nodes.
-STAR_ROUNDS, LONG_LIST, BLOCK = 1, 64, 1024
+#: sets. In the end what is left of the lists is compared in blocks of about BLOCK_BYTES of sets and signatures.
+STAR_ROUNDS, LONG_LIST, BLOCK_BYTES = 1, 64, 8 << 20
+#: Pairs with one leader that a task compares before another task gets its own copy of the leader's set.
+LEADER_PAIRS = 512
+#: Different sets, and ids, that a scan task gathers before it sends them on.
+HELD_NODES, HELD_IDS = 10_000, 100_000
+
+
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values) if values else np.empty(0, np.int64), pa.int64()))
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, k: int, keys: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """doc_id, n (shingles), node (128-bit digest of the set, null if empty), and ``k`` coordinate tokens for each row.
+    """node (128-bit digest of a set, null if empty), n (shingles), ``k`` coordinate tokens, and ids and marks of its rows.
 
     A token stands for a coordinate and the shingle of least permuted value. ``keys`` may turn the tokens into others.
+    A mark is a hash of the row's text. Rows of one set are gathered in the scan task, so that a group of copies of any
+    size gives one row for each task.
     """
     hasher = MinHash(k)
     a, b = hasher.a[:, None], hasher.b[:, None]
@@ -48,30 +59,45 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, k: int, key
                     best, at = np.where(less, least, best), np.where(less, i + start, at)
         return mix64(s[at] ^ salts)
 
-    def make():  # noqa: ANN202
-        def step(columns: list[list]) -> list[list]:
-            out: list[list] = [columns[0], [], [], []]
-            for t in columns[1]:
-                s = shingle_hashes(t or b"", size)
-                out[1].append(len(s))
-                out[2].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                found = tokens(s) if len(s) else s
-                out[3].append((keys(found) if keys and len(s) else found).view(np.int64))
-            return out
-
-        return step
-
-    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string").cast("binary"))
-    return map_slices(rows, "doc_id bigint, n bigint, node binary, tokens array<bigint>", make)
+    def emit(held: dict) -> pa.RecordBatch:
+        columns = [pa.array(list(held), pa.binary()), pa.array([v[0] for v in held.values()], pa.int64()), _lists([v[1] for v in held.values()])]
+        columns += [pa.array([v[i] for v in held.values()], pa.list_(pa.int64())) for i in (2, 3)]
+        return pa.RecordBatch.from_arrays(columns, names=["node", "n", "tokens", "ids", "marks"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ids = {}, 0
+        for columns in slices(batches):
+            for doc, text, mark in zip(*columns, strict=True):
+                s = shingle_hashes(text or b"", size)
+                node = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+                if node not in held:
+                    found = tokens(s) if len(s) else s
+                    held[node] = (len(s), (keys(found) if keys and len(s) else found).view(np.int64), [], [])
+                held[node][2].append(doc)
+                held[node][3].append(mark)
+                ids += 1
+            if len(held) > HELD_NODES or ids > HELD_IDS:
+                yield emit(held)
+                held, ids = {}, 0
+        if held:
+            yield emit(held)
+
+    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string").cast("binary"), mark_of(F.col(text_col)))
+    return rows.mapInArrow(run, "node binary, n bigint, tokens array<bigint>, ids array<bigint>, marks array<bigint>")
+
+
+def mark_of(text: Column) -> Column:
+    """A hash that tells the texts of one id apart."""
+    return F.xxhash64(text.cast("string"))
 
 
 def nodes_of(members: DataFrame) -> DataFrame:
     """One row for each different set: node, n, tokens, first_id (least doc_id)."""
-    return members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.first("tokens").alias("tokens"))
+    return members.where("n > 0").groupBy("node").agg(F.min(F.array_min("ids")).alias("first_id"), F.max("n").alias("n"), F.first("tokens").alias("tokens"))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """node and shingles (sorted 64-bit hashes) of the wanted nodes (node, first_id), from the texts of their first documents."""
+    """A stored table of node and shingles (sorted 64-bit hashes) of the wanted nodes (node, first_id), from their first documents."""
     count = wanted.count()
     texts = docs.select(F.col(id_col).cast("bigint").alias("first_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     small = wanted.select("first_id", "node")
@@ -89,99 +115,147 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size
 
         return step
 
-    return map_slices(found, "node binary, shingles binary", make).dropDuplicates(["node"])
+    sets = stored(map_slices(found, "node binary, shingles binary", make))
+    if sets.count() == count:
+        return sets
+    once = stored(sets.dropDuplicates(["node"]))  # repeated rows
+    discard(sets)
+    return once
+
+
+def _numbers(cells: pa.Array) -> Iterator[np.ndarray]:
+    """Each cell of a column of packed 64-bit numbers, without a copy."""
+    for cell in cells:
+        yield np.frombuffer(cell.as_buffer(), np.uint64)
+
+
+def common_size(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    if len(x) < len(y):
+        x, y = y, x
+    return int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum()) if len(x) else 0
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    left, right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    both = pairs.select("a", "b").join(left, "b").join(right, "a").select("a", "b", "sa", "sb")
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union.
 
-    def run(batches):  # noqa: ANN001, ANN202
+    The set of ``a`` is sent once for each LEADER_PAIRS pairs that it leads, and that of ``b`` follows it, so a task
+    holds one set and a hub is spread over tasks.
+    """
+    hubs = pairs.groupBy("a").agg(F.count("*").alias("c")).where(F.col("c") > LEADER_PAIRS).select("a", F.ceil(F.col("c") / LEADER_PAIRS).alias("chunks"))
+    dealt = stored(pairs.join(hubs, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("chunks", F.lit(1))).alias("chunk")))
+    leaders = dealt.select("a", "chunk").distinct().withColumn("node", F.col("a")).withColumn("follows", F.lit(False))
+    others = dealt.select("a", "chunk", F.col("b").alias("node"), F.lit(True).alias("follows"))
+    rows = leaders.unionByName(others).join(sets, "node").select("a", "chunk", "follows", "node", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = np.empty(0, np.uint64)
         for batch in batches:
             good = []
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+            for follows, x in zip(batch.column(2).to_pylist(), _numbers(batch.column(4)), strict=True):
+                if follows:
+                    common = common_size(lead, x)
+                    good.append(100 * common >= percent * (len(lead) + len(x) - common))
+                else:
+                    lead = x.copy()
+                    good.append(False)
+            found = batch.select([0, 3]).filter(pa.array(good, pa.bool_()))
+            if found.num_rows:
+                yield pa.RecordBatch.from_arrays(found.columns, names=["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "follows").mapInArrow(run, "a binary, b binary")
 
 
-def forest(sets: list[np.ndarray], parts: list, percent: int, split: int) -> list[tuple[int, int]]:
-    """Links between sets of different parts that join all parts which any link joins. With ``split`` below the number of
-    sets, only pairs across the two blocks count. Intersections come from products of incidence matrices.
-    """
-    size = np.array([len(s) for s in sets])
-    values, counts = np.unique(np.concatenate(sets), return_counts=True)
-    values = values[counts > 1]
-    common = np.zeros((len(sets), len(sets)), np.float32)
-    places = [np.searchsorted(values, s) for s in sets]
-    places = [p[(p < len(values)) & (values[np.minimum(p, len(values) - 1)] == s)] if len(values) else p[:0] for p, s in zip(places, sets, strict=True)]
-    for start in range(0, len(values), 4096):
-        m = np.zeros((len(sets), min(4096, len(values) - start)), np.float32)
-        for i, p in enumerate(places):
-            m[i, p[(p >= start) & (p < start + 4096)] - start] = 1
-        common += m @ m.T
-    common = common.astype(np.int64)
-    linked = 100 * common >= percent * (size[:, None] + size[None, :] - common)
-    names = {c: i for i, c in enumerate(dict.fromkeys(parts))}
-    part = np.array([names[c] for c in parts])
-    linked &= part[:, None] != part[None, :]
-    if split < len(sets):
-        linked[:split, :split] = linked[split:, split:] = False
-    up = list(range(len(names)))
-
-    def root(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
+class Parts:
+    """Union of component names."""
 
-    out = []
-    for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-        a, b = root(part[i]), root(part[j])
-        if a != b:
-            up[a] = b
-            out.append((int(i), int(j)))
-    return out
+    def __init__(self) -> None:
+        self.up: dict[bytes, bytes] = {}
 
+    def root(self, x: bytes) -> bytes:
+        while (above := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(above, above)
+            x = above
+        return x
 
-def links_in_lists(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: links across components within each list (key, node, component, l), enough of them to join all that are linked.
 
-    A list is cut into blocks, and each pair of blocks is a unit of work that one task holds at a time; the sets of a
-    unit come to it, and pairs are formed in memory only.
+class Block:
+    """The nodes of one block of a list, and the links of others with them."""
+
+    def __init__(self, percent: int, threshold: int) -> None:
+        self.percent, self.threshold, self.parts = percent, threshold, Parts()
+        self.nodes: list[bytes] = []
+        self.components: list[bytes] = []
+        self.sets: list[np.ndarray] = []
+        self.tokens = np.empty((0, 0), np.int64)
+        self.sizes = np.empty(0, np.int64)
+
+    def add(self, node: bytes, component: bytes, tokens: np.ndarray, shingles: np.ndarray) -> None:
+        at = len(self.nodes)
+        if at == len(self.sizes):
+            grown = np.empty((max(64, 2 * at), len(tokens)), np.int64), np.empty(max(64, 2 * at), np.int64)
+            if at:
+                grown[0][:at], grown[1][:at] = self.tokens, self.sizes
+            self.tokens, self.sizes = grown
+        self.tokens[at], self.sizes[at] = tokens, len(shingles)
+        self.nodes.append(node)
+        self.components.append(component)
+        self.sets.append(shingles.copy())
+
+    def links(self, component: bytes, tokens: np.ndarray, shingles: np.ndarray) -> Iterator[bytes]:
+        """Nodes of the block that a node links with, one of each component that it isn't in yet."""
+        n, size = len(self.nodes), len(shingles)
+        if not n:
+            return
+        own, sizes = self.sizes[:n], np.minimum(self.sizes[:n], size)
+        match = 100 * sizes >= self.percent * np.maximum(own, size)
+        match &= (self.tokens[:n] == tokens).sum(axis=1) >= self.threshold
+        for i in np.flatnonzero(match).tolist():
+            mine, other = self.parts.root(component), self.parts.root(self.components[i])
+            if mine != other:
+                common = common_size(self.sets[i], shingles)
+                if 100 * common >= self.percent * (size + len(self.sets[i]) - common):
+                    self.parts.up[mine] = other
+                    yield self.nodes[i]
+
+
+def links_in_lists(posts: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, threshold: int) -> DataFrame:
+    """a, b: links across components within each list (key, node, component, n), enough of them to join all that are linked.
+
+    The largest component of a list is not compared with itself. The other nodes are cut into blocks by bytes; a block
+    is a unit of work with itself, with each other block, and with each block of the largest component. A task holds one
+    block, and the other one passes it row by row. Pairs are formed in memory, count collisions of whole signatures
+    first, and confirm what reaches the threshold.
     """
-    blocks = F.ceil(F.col("l") / BLOCK)
-    own = F.pmod(F.xxhash64("node"), blocks)
-    units = posts.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    weight = F.sum(8 * F.col("n") + 400)
+    groups = posts.groupBy("key", "component").agg(weight.alias("bytes"))
+    lists = groups.groupBy("key").agg(F.max(F.struct("bytes", "component")).alias("most"), F.sum("bytes").alias("all"))
+    own, rest = F.ceil(F.col("most.bytes") / BLOCK_BYTES), F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("most.bytes")) / BLOCK_BYTES))
+    lists = lists.select("key", F.col("most.component").alias("largest"), own.alias("large_blocks"), rest.alias("rest_blocks"))
+    units = posts.join(lists, "key").withColumn("inside", F.col("component") == F.col("largest"))
+    block = F.when(F.col("inside"), F.col("rest_blocks") + F.pmod(F.xxhash64("node"), "large_blocks")).otherwise(F.pmod(F.xxhash64("node"), "rest_blocks"))
+    last = F.when(F.col("inside"), F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("large_blocks")) - 1
+    units = units.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     units = units.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component")
-    rows = units.join(sets.select("node", "shingles"), "node").select("key", "x", "y", "own", "node", "component", "shingles")
-
-    def run(batches):  # noqa: ANN001, ANN202
-        unit, held = None, []
-
-        def done():  # noqa: ANN202
-            if len(held) < 2:
-                return []
-            split = sum(r[3] == unit[1] for r in held) if unit[1] != unit[2] else len(held)
-            return [(held[i][4], held[j][4]) for i, j in forest([np.frombuffer(r[6], np.uint64) for r in held], [r[5] for r in held], percent, split)]
+    rows = units.join(nodes.select("node", "tokens"), "node").join(sets, "node").select("key", "x", "y", "own", "node", "component", "tokens", "shingles")
 
-        found: list = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, block = None, Block(percent, threshold)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                for r in zip(*(c.to_pylist() for c in batch.slice(start, 512).columns), strict=True):
-                    if r[:3] != unit:
-                        found += done()
-                        unit, held = r[:3], []
-                    held.append(r)
+            found: list[tuple[bytes, bytes]] = []
+            names = zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True)
+            flat, width = batch.column(6).flatten().to_numpy(), batch.column(6).value_lengths().to_numpy()
+            ends = width.cumsum()
+            for (key, x, y, own, node, component), start, end, shingles in zip(names, (ends - width).tolist(), ends.tolist(), _numbers(batch.column(7)), strict=True):
+                if (key, x, y) != unit:
+                    unit, block = (key, x, y), Block(percent, threshold)
+                tokens = flat[start:end]
+                if own == y:
+                    found += [(node, other) for other in block.links(component, tokens, shingles)]
+                if own == x:
+                    block.add(node, component, tokens, shingles)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.binary()), pa.array([max(p) for p in found], pa.binary())], names=["a", "b"])
-                found = []
-        if found := found + done():
-            yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.binary()), pa.array([max(p) for p in found], pa.binary())], names=["a", "b"])
 
     return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "own").mapInArrow(run, "a binary, b binary").distinct()
 
@@ -217,11 +291,16 @@ def rare_shingle_posts(posts: DataFrame, sets: DataFrame, percent: int) -> DataF
     """
     inside = sets.join(posts.where(F.col("length") > LONG_LIST).select("node").distinct(), "node").select("node", "shingles")
 
-    def run(batches):  # noqa: ANN001, ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x = np.frombuffer(shingles, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([node] * len(x), pa.binary()), pa.array(x)], names=["node", "key"])
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                sets = list(_numbers(part.column(1)))
+                digests = np.array([np.frombuffer(c.as_buffer(), np.uint8) for c in part.column(0)])
+                data = np.repeat(digests, [len(s) for s in sets], axis=0)
+                ends = np.arange(0, 16 * len(data) + 1, 16, dtype=np.int32)
+                names = pa.BinaryArray.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([names, pa.array(np.concatenate(sets).view(np.int64))], names=["node", "key"])
 
     every = inside.mapInArrow(run, "node binary, key bigint")
     shared = every.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
@@ -232,10 +311,10 @@ def rare_shingle_posts(posts: DataFrame, sets: DataFrame, percent: int) -> DataF
     return rows.select(F.xxhash64("x.key").alias("key"), "node", "n", (F.col("shared") - F.col("at")).cast("bigint").alias("rest"))
 
 
-def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, likely: Column, percent: int, id_col: str, text_col: str, size: int) -> DataFrame | None:
-    """Components (node, component) of the verified links between nodes that share a key and are ``likely``.
+def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, threshold: int, percent: int, id_col: str, text_col: str, size: int) -> DataFrame | None:
+    """Components (node, component) of the verified links between nodes that share a key and ``threshold`` tokens or more.
 
-    posts: key, node. ``likely`` speaks of the columns n, tokens, n2, tokens2 of two nodes. None: no links at all.
+    posts: key, node. None: no links at all.
 
     Nodes of long lists are posted anew under the rarest shingles of their full sets, which is exact too and keeps far
     copies of one text, or texts with one common passage, from being compared pair by pair.
@@ -244,20 +323,24 @@ def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, likely: Column,
     posts = stored(posts.join(lists, "key").select("key", "node", "length"))
     wanted = stored(posts.select("node").distinct().join(nodes.select("node", "n", "tokens", "first_id"), "node"))
     if wanted.isEmpty():
+        discard(posts, wanted)
         return None
-    sets = stored(sets_of(docs, wanted, id_col, text_col, size))
+    sets = sets_of(docs, wanted, id_col, text_col, size)
     facts = wanted.select("node", "n").join(posts.groupBy("node").agg(F.sum("length").alias("weight")), "node")
     kept = posts.where(F.col("length") <= LONG_LIST).join(facts, "node").select("key", "node", "n", F.col("n").alias("rest"), "weight")
     if not posts.where(F.col("length") > LONG_LIST).isEmpty():
         kept = kept.unionByName(rare_shingle_posts(posts, sets, percent).join(facts.select("node", "weight"), "node"))
-    posts = stored(kept)
+    before, posts = posts, stored(kept)
+    discard(before)
     most = F.least("rest", "rest2")
     close = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (100 * most >= percent * (F.col("n") + F.col("n2") - most))
 
     def links(pairs: DataFrame) -> DataFrame:
-        a = wanted.select(F.col("node").alias("a"), "n", "tokens")
-        b = wanted.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("tokens").alias("tokens2"))
-        return verified(pairs.join(b, "b").join(a, "a").where(likely).select("a", "b"), sets, percent)
+        a = wanted.select(F.col("node").alias("a"), "tokens")
+        b = wanted.select(F.col("node").alias("b"), F.col("tokens").alias("tokens2"))
+        # Equal tokens stand at equal places, so collisions are counted place by place.
+        collisions = F.aggregate(F.zip_with("tokens", "tokens2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
+        return verified(pairs.join(b, "b").join(a, "a").where(collisions >= threshold).select("a", "b"), sets, percent)
 
     labels = None
     for number in range(STAR_ROUNDS + 1):
@@ -265,9 +348,10 @@ def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, likely: Column,
         several = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("l")).where("x != y" if number == 0 else "x != y and l > 2")
         now = stored(now.join(several.select("key", "l"), "key"))
         if now.isEmpty():
+            discard(now)
             break
         if number == STAR_ROUNDS:
-            found = stored(links_in_lists(now, sets, percent))
+            found = stored(links_in_lists(now, wanted, sets, percent, threshold))
         else:
             # The node that shares most leads, as a text that others copy does; in later rounds that of another third.
             mark = F.xxhash64("node", F.lit(number))
@@ -275,19 +359,23 @@ def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, likely: Column,
             leaders = now.groupBy("key").agg(F.min(F.struct(order.alias("order"), *[F.col(c).alias(f"{c}2") for c in ("node", "component", "n", "rest")])).alias("x")).select("key", "x.*")
             pairs = now.join(leaders, "key").where((F.col("component") != F.col("component2")) & close)
             # Of several leaders a node is held against the foremost; only lists of two are settled at once.
-            ends = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+            ends = [F.col("other").alias("a"), F.col("node").alias("b")]
             first = pairs.where("l > 2").groupBy("node").agg(F.min_by("node2", "order").alias("other")).select(*ends)
             both = first.unionByName(pairs.where("l = 2").withColumnRenamed("node2", "other").select(*ends)) if number == 0 else first
             found = stored(links(both.distinct()))
         if not found.isEmpty():
-            before = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            labels = stored(components(before))
-        discard(now)
+            old = labels
+            labels = stored(components(found if old is None else found.unionByName(old.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+            if old is not None:
+                discard(old)
+        discard(now, found)
+    discard(posts, wanted, sets)
     return labels
 
 
 def label_members(members: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of all rows. Empty sets link with nothing; rows of null id keep to their component."""
+    """doc_id, mark, n_shingles, component_id, kept of all rows. Empty sets link with nothing; rows of null id keep to their
+    component. Members come gathered by scan task, so a set with very many rows joins its label in few."""
     if labels is None:
         named = nodes.select("node", F.col("first_id").alias("component_id"))
     else:
@@ -295,6 +383,8 @@ def label_members(members: DataFrame, nodes: DataFrame, labels: DataFrame | None
         least = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
         inside = linked.join(least, "component").select("node", "component_id")
         named = nodes.join(inside, "node", "left").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
-    out = members.join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    rows = members.select("node", "n", F.arrays_zip("ids", "marks").alias("rows"))
+    filled = rows.where("node is not null").join(named, "node").select("n", "component_id", F.explode("rows").alias("row"))
+    empty = rows.where("node is null").select("n", F.explode("rows").alias("row")).select("n", F.col("row.ids").alias("component_id"), "row")
+    component = F.col("component_id")
+    return filled.unionByName(empty).select(F.col("row.ids").alias("doc_id"), F.col("row.marks").alias("mark"), F.col("n").alias("n_shingles"), component, component.eqNullSafe(F.col("row.ids")).alias("kept"))

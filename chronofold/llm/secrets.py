@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import map_slices, read_table
+from chronofold.llm.common import map_slices, read_table, replace_texts
 
 #: Fixed values of the contract: the base patterns, and how long a match must be.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -191,17 +191,8 @@ def mask(text: str, model: Markov, by: str = "[SECRET]") -> str:
 
 def mask_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Markov | None = None) -> DataFrame:
     """``docs`` with secrets in the text masked; all rows and other columns stay, null texts stay null."""
-    import pyarrow as pa
-
     model = model or labelled_model(docs, id_col, text_col)
-    at = docs.columns.index(text_col)
-
-    def run(batches):  # noqa: ANN001, ANN202
-        for batch in batches:
-            masked = [None if t is None else mask(t, model) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(masked, batch.schema.field(at).type))
-
-    return docs.mapInArrow(run, docs.schema)
+    return replace_texts(docs, text_col, lambda text: mask(text, model))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,9 @@ def test_near_components(spark, size, percent):
 def test_long_lists_lose_no_link(spark, monkeypatch, rounds, long):
     """What passes leave is found pair by pair, and the bound of own shingles drops no link."""
     monkeypatch.setattr(near, "STAR_ROUNDS", rounds)
-    monkeypatch.setattr(near, "BLOCK", 7)
+    monkeypatch.setattr(near, "BLOCK_BYTES", 8000)
+    monkeypatch.setattr(near, "LEADER_PAIRS", 3)
+    monkeypatch.setattr(near, "HELD_NODES", 5)
     monkeypatch.setattr(near, "LONG_LIST", long)
     texts = near_texts(11)
     df = frame(spark, texts)
