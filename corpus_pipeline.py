@@ -17,21 +17,26 @@ from chronofold.llm.common import crc_text, read_table, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, null texts among them, go; all others stay, however unsure their language. Null languages
+    teach nothing; without any label in the table no language is known, and every row goes."""
     held = F.pmod(crc_text("doc_id"), F.lit(4)) == 2
     model = language_id.train(docs.where(~held).select("doc_id", "text", "lang"))
     return language_id.keep_identified(docs, model)
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of rows whose texts are equal without white space the longest stays, then that of the least id; null ids lose."""
     return exact_dedup.deduplicate(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = minhash_join.near_components(docs, size=5, percent=80).where("kept").select(F.col("doc_id").alias("__keep"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__keep"]), "left_semi")
+    """One document of each group stays, the one of the least id; texts without words and null texts stay. Rows of one id
+    count as one document with several texts, each kept or dropped by its own group. An empty table stays empty."""
+    return minhash_join.keep_one(docs, size=5, percent=80)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows stay, with secrets in their texts masked and n_chars counted anew; null texts stay null."""
     masked = secrets.mask_secrets(docs)
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -39,6 +44,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their sequence and place; null texts count as empty, null and repeated ids are packed like others."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -51,6 +57,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the whole table of documents; what each one returns is stored and read again. An empty table gives
+    no pieces. Extra columns of the table stay up to the last stage."""
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
