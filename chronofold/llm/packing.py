@@ -1,15 +1,17 @@
 """Operator 9: best-fit packing with certified bounds.
 
 Each partition packs its pieces by best-fit decreasing and holds the number of bins against dual-feasible-function
-lower bounds. A partition that meets its bound is done. Partitions with a gap keep their full bins, give the documents
-of the others to a smaller number of partitions, and those are packed again, until one partition is left, the whole
-corpus meets its bound, or a round no longer saves a bin.
+lower bounds. A partition that meets its bound can only lose what the bound was rounded up by: it gives up its emptiest
+bins, one bin's room together. Partitions with a gap give up all bins that aren't full. What is given goes to a smaller
+number of partitions and is packed again, until one partition is left, the whole corpus meets its bound, or a round no
+longer saves a bin.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import logging
 import os
 import re
 import unicodedata
@@ -28,6 +30,8 @@ from chronofold.llm.bpe import SPACES, byte_alphabet
 from chronofold.llm.common import map_slices, read_table, stored
 
 CAPACITY, END_ID = 2048, 0
+#: Pieces that a task packs at a time, about as many as an input split of 128 MB has, and their bytes where ids go along.
+TASK_PIECES, TASK_BYTES = 20_000, 64 << 20
 TABLE_ENTRIES = 900_000
 #: The word pattern of the tokenizer family that the fast path knows; a fixed value.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -205,8 +209,12 @@ def pack_round(items: DataFrame, capacity: int, number: int) -> DataFrame:
             return
         sizes = table.column("length").to_numpy()
         bin_of, offset, room = best_fit(sizes, capacity)
-        certified = len(room) == lower_bound(np.bincount(sizes, minlength=capacity + 1))
-        given = np.zeros(len(sizes), bool) if certified else (room > 0)[bin_of]
+        open_ = room > 0
+        if len(room) == lower_bound(np.bincount(sizes, minlength=capacity + 1)):
+            order = np.argsort(-room, kind="stable")
+            emptiest = order[: int(np.searchsorted(np.cumsum(room[order]), capacity)) + 1]
+            open_ = np.isin(np.arange(len(room)), emptiest) & open_
+        given = open_[bin_of]
         first = (number << 58) + (TaskContext.get().partitionId() << 32)
         for name, values in (("sequence_id", bin_of + first), ("offset", offset), ("given", given)):
             table = table.append_column(name, pa.array(values))
@@ -215,13 +223,12 @@ def pack_round(items: DataFrame, capacity: int, number: int) -> DataFrame:
     return items.select(*kept.names).mapInArrow(run, schema)
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, rounds: int = 6, rows_a_task: int = 2_000_000) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, rounds: int = 6, rows_a_task: int = TASK_PIECES) -> DataFrame:
     """Adds sequence_id and offset to rows with a ``length`` of 1..capacity.
 
-    ``items`` should be a stored table: it is read again in each round. A task holds the lengths of about ``rows_a_task``
-    rows. An empty table gives an empty one.
+    ``items`` should be a stored table: it is read again in each round. A task holds about ``rows_a_task`` rows, fewer
+    where a column ``ids`` makes them large. Ties go by the order in which rows come. An empty table gives an empty one.
     """
-    spark = items.sparkSession
     whole = items.where(F.col("length") >= capacity).withColumn("sequence_id", F.monotonically_increasing_id() + F.lit(7 << 58)).withColumn("offset", F.lit(0).cast("bigint"))
     rest = items.where(F.col("length") < capacity)
     histogram = rest.groupBy("length").count().collect()  # at most ``capacity`` rows
@@ -229,22 +236,29 @@ def pack(items: DataFrame, capacity: int = CAPACITY, rounds: int = 6, rows_a_tas
     for r in histogram:
         counts[r["length"]] = r["count"]
     bound, n = lower_bound(counts), int(counts.sum())
+    if "ids" in items.columns and n:
+        rows_a_task = max(1, min(rows_a_task, TASK_BYTES // (100 + 4 * int((counts * np.arange(capacity + 1)).sum()) // n)))
     parts = max(1, -(-n // rows_a_task))
-    done, used, before = [whole], 0, None
+    done, used, total, last = [whole], 0, None, None
     work = rest.repartition(parts) if n else rest
     for number in range(rounds):
         packed = stored(pack_round(work, capacity, number))
         found = {r["given"]: (r["bins"], r["n"]) for r in packed.groupBy("given").agg(F.count_distinct("sequence_id").alias("bins"), F.count("*").alias("n")).collect()}
         bins, given = found.get(True, (0, 0))
         kept = found.get(False, (0, 0))[0]
-        total = used + kept + bins
-        if not given or parts == 1 or total == bound or total == before or number == rounds - 1:
+        before, total = total, used + kept + bins
+        if before is not None and total > before:  # the pieces were better off where they were
+            done.append(last.where("given").drop("given"))
+            total = before
+            break
+        if not given or parts == 1 or total in (bound, before) or number == rounds - 1:
             done.append(packed.drop("given"))
             break
         done.append(packed.where(~F.col("given")).drop("given"))
-        used, before = used + kept, total
+        used, last = used + kept, packed
         parts = max(1, min(parts // 4, -(-given // rows_a_task)))
         work = packed.where("given").repartition(parts)
+    logging.getLogger(__name__).info("%d bins of pieces under %d tokens, lower bound %d, after %d rounds", total or 0, capacity, bound, number + 1)
     out = done[0]
     for other in done[1:]:
         out = out.unionByName(other)
@@ -254,7 +268,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, rounds: int = 6, rows_a_tas
 def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their sequence and place; ``with_ids`` keeps the token ids for training readers.
 
-    Null texts count as empty (the end id alone); null and repeated ids are packed like others.
+    Null texts count as empty (the end id alone); null and repeated ids are packed like others. Very long texts are cut
+    into pieces of the capacity. Other columns, whatever their names, aren't read.
     """
     return pack(stored(pieces(docs, path, id_col, text_col, capacity, with_ids)), capacity)
 
