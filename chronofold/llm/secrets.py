@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import map_slices, read_table, replace_texts
+from chronofold.llm.common import map_slices, read_table, replace_texts, slices
 
 #: Fixed values of the contract: the base patterns, and how long a match must be.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -46,10 +47,11 @@ def ordinary_identifiers(texts: Iterable[str]) -> list[str]:
     """Labelled samples of ordinary identifiers: the words of texts without the base findings, alone and joined as names are."""
     out: list[str] = []
     joins = ("_", "-", "/", "", "")
-    for n, text in enumerate(texts):
+    for text in texts:
+        n = len(text)
         for _, start, end in reversed(base_spans(text)):
             text = text[:start] + " " + text[end:]
-        words = re.findall(r"[A-Za-z][A-Za-z0-9]*", text)
+        words = _WORDS.findall(text)
         out += words
         for i in range(0, len(words) - 3, 3):
             by = joins[(n + i) % 5]
@@ -60,29 +62,29 @@ def ordinary_identifiers(texts: Iterable[str]) -> list[str]:
     return out
 
 
+_WORDS = re.compile(r"[A-Za-z][A-Za-z0-9]*")
+_INDEX = np.zeros(128, np.int32)  # 0 stands for the border before a token
+_INDEX[[ord(c) for c in SYMBOLS]] = np.arange(1, len(SYMBOLS) + 1)
+_M = len(SYMBOLS) + 1
+
+
+def trigrams(tokens: Iterable[str]) -> np.ndarray:
+    """The code of each character of the tokens with the two before it."""
+    x = _INDEX[np.frombuffer("".join(["\n\n" + t for t in tokens]).encode("ascii"), np.uint8)]
+    codes = (x[:-2] * _M + x[1:-1]) * _M + x[2:]
+    return codes[x[2:] > 0]
+
+
 class Markov:
     """Order-two character models of both classes with additive smoothing; scores are sums of log-ratios."""
 
-    def __init__(self, random: Iterable[str], ordinary: Iterable[str], smoothing: float = 0.5) -> None:
-        self.index = np.full(128, -1, np.int64)
-        self.index[[ord(c) for c in SYMBOLS]] = np.arange(len(SYMBOLS))
-        ratio = [self.fit(x, smoothing) for x in (random, ordinary)]
-        self.ratio = ratio[0] - ratio[1]
-
-    def codes(self, token: str) -> np.ndarray:
-        m, x = len(SYMBOLS) + 1, self.index[np.frombuffer(token.encode("ascii"), np.uint8)] + 1
-        x = np.concatenate([[0, 0], x])
-        return (x[:-2] * m + x[1:-1]) * m + x[2:]
-
-    def fit(self, tokens: Iterable[str], smoothing: float) -> np.ndarray:
-        m = len(SYMBOLS) + 1
-        tokens = list(tokens)
-        counts = np.zeros(m**3)
-        for at in range(0, len(tokens), 20_000):
-            part = [self.codes(t) for t in tokens[at : at + 20_000] if t]
-            if part:
-                counts += np.bincount(np.concatenate(part), minlength=m**3)
-        counts = counts.reshape(m, m, m)
+    def __init__(self, random: np.ndarray, ordinary: np.ndarray, smoothing: float = 0.5) -> None:
+        """random, ordinary: how often each trigram code occurs in the labelled samples of the class."""
+        self.ratio = self.fit(random, smoothing) - self.fit(ordinary, smoothing)
+
+    @staticmethod
+    def fit(counts: np.ndarray, smoothing: float) -> np.ndarray:
+        counts = counts.astype(float).reshape(_M, _M, _M)
         # Trigrams back off to bigrams, and those to single characters.
         one = counts.sum((0, 1)) + smoothing
         one = one / one.sum()
@@ -91,7 +93,7 @@ class Markov:
         return np.log((counts + 4 * two) / (counts.sum(2, keepdims=True) + 4)).ravel()
 
     def score(self, token: str) -> float:
-        return float(self.ratio[self.codes(token)].sum())
+        return float(self.ratio[trigrams([token])].sum())
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -137,17 +139,35 @@ def all_spans(text: str, model: Markov) -> tuple[list[tuple[int, int, int]], lis
     return base, sorted(base + more, key=lambda s: (s[1], s[0])) if more else base
 
 
+def identifier_counts(texts: DataFrame) -> np.ndarray:
+    """How often each trigram occurs in the ordinary identifiers of a column of texts: sums of each task, then of all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_M**3, np.int64)
+        for (part,) in slices(batches, 0):
+            for at in range(0, len(part), 50):
+                total += np.bincount(trigrams(ordinary_identifiers(t for t in part[at : at + 50] if t)), minlength=_M**3)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["code", "n"])
+
+    out = np.zeros(_M**3, np.int64)
+    for r in texts.mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).collect():  # 314,432 rows at most
+        out[r["code"]] = r["n"]
+    return out
+
+
 def labelled_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = TRAINING_DOCUMENTS) -> Markov:
     """The models, fitted on drawn random strings and on identifiers of about ``bound`` documents at most.
 
-    The documents are chosen by a hash of their ids, without regard to order or place; an empty table leaves the
-    ordinary class to built-in English-like names.
+    The documents are chosen by a hash of their ids, without regard to order or place, and their identifiers are counted
+    in tasks. An empty table leaves the ordinary class to built-in English-like names.
     """
     n = docs.count()
     share = min(1.0, bound / max(1, n))
     picked = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < int(share * 1_000_000)).select(F.col(text_col).cast("string"))
-    texts = [r[0] for r in picked.toLocalIterator() if r[0]]
-    return Markov(random_strings(RANDOM_STRINGS), ordinary_identifiers([*texts, "get user name from config value of default session handler and return response status to client"]))
+    names = ["get user name from config value of default session handler and return response status to client"]
+    own = np.bincount(trigrams(ordinary_identifiers(names)), minlength=_M**3)
+    return Markov(np.bincount(trigrams(random_strings(RANDOM_STRINGS)), minlength=_M**3), own + identifier_counts(picked))
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -157,7 +177,8 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Markov | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans for each row; offsets in code points, end exclusive.
 
-    Null texts count as empty (no spans). Null and repeated ids stay as they are.
+    Null texts count as empty (no spans). Null and repeated ids stay as they are, very long texts are scanned whole, and
+    other columns, whatever their names, aren't read.
     """
     model = model or labelled_model(docs, id_col, text_col)
 
