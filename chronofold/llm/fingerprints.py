@@ -115,7 +115,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept by bands of the signature joined in Spark, with Jaccard similarity confirmed."""
+    """doc_id, n_shingles, component_id, kept by bands of the signature joined in Spark, with Jaccard similarity confirmed.
+
+    Null, empty and wordless texts link with nothing; rows of one id count as one document with several texts.
+    """
 
     def bands(tokens: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -133,3 +136,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def bands_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The band join of operator 1 over the whole table, with five words and a similarity of 0.8."""
+    return near_duplicates(read_table(spark, sf_dir, "documents"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chronofold.llm.bpe import op4_bpe_round_trip
 from chronofold.llm.exact_dedup import OP8_SQL, op8_exact_dedup
-from chronofold.llm.fingerprints import op1_fingerprints
+from chronofold.llm.fingerprints import bands_near_duplicates, op1_fingerprints
 from chronofold.llm.html_text import op7_html_extraction
 from chronofold.llm.language_id import op6_language_id
 from chronofold.llm.minhash_join import op10_near_dedup
@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_near_dedup": op10_near_dedup,
     "pipeline": corpus_pipeline.run,
+    "bands_near_duplicates": bands_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}

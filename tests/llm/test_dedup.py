@@ -39,6 +39,35 @@ def test_repeated_rows_keep_one(spark):
     assert [r["text"] for r in exact_dedup.deduplicate(df).collect()] == ["t "]
 
 
+def test_names_of_columns_may_clash(spark):
+    rows = [(1, "a b", "x", "y", 5, b"z"), (2, "ab", "x", "y", 6, b"z"), (3, "c", "p", "q", 7, None), (None, "c", "r", "s", 8, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, __digest string, __keep string, c0 bigint, body binary")
+    assert sorted(map(tuple, exact_dedup.deduplicate(df).collect())) == [(1, "a b", "x", "y", 5, b"z"), (3, "c", "p", "q", 7, None)]
+
+
+def test_kept_rows_of_one_id(spark):
+    """Rows of one id with different texts are kept or dropped by their own groups."""
+    draw = random.Random(9)
+    a, b = ([draw.choice(WORDS) + str(draw.randint(0, 99)) for _ in range(80)] for _ in range(2))
+    rows = [(1, " ".join(a)), (5, " ".join([*a, "more"])), (5, " ".join(b)), (6, " ".join([*b, "end"])), (7, ""), (8, None)]
+    got = minhash_join.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2], rows[4], rows[5]], key=str)
+
+
+def test_a_hub_of_thousands(spark):
+    """Far copies of one text, each list far over LONG_LIST, and as many exact copies: all in one component, each row once."""
+    draw = random.Random(12)
+    base = [draw.choice(WORDS) + str(draw.randint(0, 999)) for _ in range(300)]
+    texts = [" ".join(base)] * 1500
+    for i in range(1500):
+        copy = list(base)
+        copy[draw.randrange(300)] = f"new{i}"
+        texts.append(" ".join(copy))
+    texts += [f"lonely text number {i} of {i * 7}" for i in range(200)]
+    got = {r["doc_id"]: r["component_id"] for r in minhash_join.near_components(frame(spark, texts).select("doc_id", "text").repartition(8), size=3, percent=85).collect()}
+    assert len(got) == 3200 and {got[i] for i in range(3000)} == {0} and all(got[i] == i for i in range(3000, 3200))
+
+
 def test_directory_doubles():
     counts = {0: 10, 1: 10, 2: 1, 9: 50, 15: 1}
     d = exact_dedup.directory(counts, capacity=12, max_depth=4)

@@ -38,6 +38,49 @@ def test_language_edges(spark, docs):
     assert language_id.identify(df, empty).where("lang_pred = 'und'").count() == df.count()
 
 
+def test_every_letter_counts():
+    for c in ("a", "日", chr(0x20010), chr(0x30010), chr(0x31350)):
+        assert c.isalpha() and language_id.grams(c * 20) is not None
+    assert language_id.grams(chr(0x1F600) + "1" + chr(0x10FFFF)) is None
+
+
+def test_regression_is_plain_ftrl():
+    """The fitted weights against follow-the-regularised-leader written out coordinate by coordinate."""
+    import math
+    import random
+
+    draw = random.Random(1)
+    rows = [("".join(draw.choice(a) for _ in range(30)), lang) for lang, a in (("x", "abcd "), ("y", "cdef "), ("z", "efgh ")) for _ in range(8)]
+    idf = np.ones(1 << language_id.BITS)
+    model = language_id.fit(rows, idf, epochs=2)
+    data = [(*model.vector(language_id.grams(t)), "xyz".index(lang)) for t, lang in rows]
+    order = np.random.Generator(np.random.PCG64(6)).permutation(len(data))
+    z, n, zb, nb = {}, {}, [0.0] * 3, [0.0] * 3
+    a, b, l1, l2 = language_id.ALPHA, language_id.BETA, language_id.L1, language_id.L2
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[k]) - z[k]) / ((b + math.sqrt(n[k])) / a + l2)
+
+    for _ in range(2):
+        for i in [data[i] for place, i in enumerate(order) if place % 5]:
+            at, v, y = i
+            bias = [-zb[c] * a / (b + math.sqrt(nb[c])) for c in range(3)]
+            logit = [bias[c] + sum(x * weight((j, c)) for j, x in zip(at, v)) for c in range(3)]
+            most = max(logit)
+            p = [math.exp(x - most) for x in logit]
+            for c in range(3):
+                g = p[c] / sum(p) - (c == y)
+                for j, x in zip(at, v):
+                    w, old = weight((j, c)), n.get((j, c), 0.0)
+                    n[j, c] = old + (x * g) ** 2
+                    z[j, c] = z.get((j, c), 0.0) + x * g - (math.sqrt(n[j, c]) - math.sqrt(old)) / a * w
+                old, nb[c] = nb[c], nb[c] + g * g
+                zb[c] += g - (math.sqrt(nb[c]) - math.sqrt(old)) / a * bias[c]
+    assert max(abs(model.weights[k] - weight(k)) for k in z) < 1e-9 and np.count_nonzero(model.weights) > 10
+
+
 def test_unsure_languages_stay(spark):
     class Unsure:
         def predict(self, text):
@@ -54,6 +97,26 @@ def test_quality_held_out(spark, docs):
     assert all(r["predicted"] == int(r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in got)
 
 
+def test_dual_coordinate_descent_finds_the_optimum():
+    """The hinge loss and its dual meet, which only the best weights allow."""
+    draw = np.random.Generator(np.random.PCG64(8))
+    x = draw.normal(size=(60, 6))
+    y = np.where(x[:, 0] + 0.8 * draw.normal(size=60) > 0, 1, -1)
+    cost = np.full(60, 0.7)
+    w = quality.dual_coordinate_descent([(np.arange(6), r) for r in x], y, cost, 6, epochs=3000)
+    primal = w @ w / 2 + (cost * np.maximum(0, 1 - y * (x @ w))).sum()
+    for step in draw.normal(size=(4000, 6)) * np.geomspace(1e-3, 1, 4000)[:, None]:
+        v = w + step
+        assert primal <= v @ v / 2 + (cost * np.maximum(0, 1 - y * (x @ v))).sum() + 1e-3
+
+
+def test_quality_held_out_on_more_rows(spark):
+    sf = SF.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    held = QUERIES["op2_quality"](spark, sf).join(labels, "doc_id").where("held_out").collect()
+    assert len(held) > 50 and sum(r["predicted"] == r["quality"] for r in held) >= 0.9 * len(held)
+
+
 def test_quality_edges(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     df = frame(spark, edge_texts())
@@ -86,6 +149,33 @@ def test_secrets(spark, docs):
     assert secrets.find_secrets(frame(spark, [])).count() == 0
 
 
+def test_planted_secrets_and_false_alarms(spark, docs):
+    """Keys planted in documents are found; documents without any stay as they are."""
+    model = secrets.labelled_model(docs)
+    keys = secrets.random_strings(200, seed=41)
+    texts = [r["text"] for r in docs.where("text is not null and length(text) > 40").select("text").limit(200).collect()]
+    found = 0
+    for key, text in zip(keys, texts, strict=False):
+        at = text.index(" ", len(text) // 2) if " " in text[len(text) // 2 :] else len(text)
+        spans = secrets.all_spans(f"{text[:at]} {key} {text[at:]}", model)[1]
+        found += any(s <= at + 1 and e >= at + 1 + len(key.rstrip("=")) for _, s, e in spans) or any(k == 2 and s <= at + 1 < e for k, s, e in spans)
+    assert found >= 0.95 * min(len(keys), len(texts))
+    clean = [t for t in texts if not secrets.base_spans(t)]
+    alarms = [(t[s:e]) for t in clean for k, s, e in secrets.all_spans(t, model)[1]]
+    assert sum(bool(secrets.all_spans(t, model)[1]) for t in clean) <= 0.03 * len(clean), alarms
+
+
+def test_trigram_counts_of_tasks(spark, docs):
+    texts = docs.select("text").repartition(3)
+    plain = np.zeros(secrets._M**3, np.int64)
+    for r in texts.collect():
+        for t in secrets.ordinary_identifiers([r["text"] or ""]):
+            x = [0, 0, *(secrets.SYMBOLS.index(c) + 1 for c in t)]
+            for i in range(2, len(x)):
+                plain[(x[i - 2] * secrets._M + x[i - 1]) * secrets._M + x[i]] += 1
+    assert (secrets.identifier_counts(texts) == plain).all()
+
+
 def test_markov_models_tell_classes_apart(docs):
     model = secrets.labelled_model(docs)
     fresh = secrets.random_strings(600, seed=99)
@@ -155,6 +245,76 @@ def test_page_rows(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def densities(root):
+    """A second reading of the density sums: each node's own, from the text below it, by recursion."""
+    import math
+
+    def below(n):
+        return [d for c in n.children if not isinstance(c, str) and not c.dropped for d in [c, *below(c)]]
+
+    def text(n):
+        return "".join(c if isinstance(c, str) else "" if c.dropped else text(c) for c in n.children)
+
+    def links(n):
+        return sum(len(re.sub("[ \n]", "", text(c))) if c.tag == "a" else links(c) for c in n.children if not isinstance(c, str) and not c.dropped)
+
+    nodes = [n for n in below(root) if not n.dropped]
+    body = next((n for n in nodes if n.tag == "body"), root)
+    size = lambda n: len(re.sub("[ \n]", "", text(n)))
+    out = {}
+    for n in nodes:
+        c, l, t, lt = size(n), links(n), len(below(n)), sum(x.tag == "a" for x in below(n))
+        if c:
+            base = math.log(c / max(1, c - l) * l + links(body) / max(1, size(body)) * c + math.e)
+            out[n] = c / max(1, t) * math.log(max(1.0, c / max(1, l) * max(1, t) / max(1, lt))) / base
+    return out
+
+
+def test_density_is_the_formula(spark):
+    for r in spark.read.parquet(f"{SF}/pages.parquet").limit(8).collect():
+        root = html_text.parse(r["html"])
+        order, body = html_text.count(root)
+        html_text.measure(order, body)
+        for n, d in densities(root).items():
+            assert abs(n.density - d) < 1e-9 * max(1, d)
+
+
+def test_article_without_its_element(spark):
+    """Density alone finds the article of each page whose article element is a plain one."""
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        plain = r["html"].replace("<article>", "<div>").replace("</article>", "</div>")
+        assert html_text.main_text(plain) == html_text.main_text(r["html"]) != ""
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='post social-issues'>{ARTICLE}</div><div>Other words of a smaller place here.</div></body>",
+        f"<body><form action=x>{ARTICLE}<input value=a><button>Go</button></form></body>",
+        f"<form><div class=header>Site</div><div>{ARTICLE}</div><div class=comments>{ARTICLE * 2}</div></form>",
+        f"<body><div><ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul></div><div class=widget>{ARTICLE}</div>",
+        f"<body class=search><header>Site name</header><div id=content><section>{ARTICLE}</section></div>",
+    ],
+)
+def test_names_and_frames_are_weighed(page):
+    assert html_text.main_text(page) == "T&C\n\nA long first paragraph with many plain words inside it.\n\nSecond one <ok> with bold words, and a break too."
+
+
+@pytest.mark.parametrize("page", ["<a \"" * 100_000, "<a =\"" * 100_000, "<span>" * 50_000 + "<div></div>" * 50_000, "<span>" * 50_000 + "<li></li></p>" * 50_000, "<p><table><tr><td>" + "<b>" * 50_000 + "</p></i>" * 50_000, "<!--" * 100_000, "<" * 300_000])
+def test_odd_pages_take_linear_time(page):
+    import time
+
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 20
+
+
+def test_page_columns_may_clash(spark):
+    rows = [(1, "u", f"<article>{ARTICLE * 5000}</article>", "x", 7)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, n_chars int")).collect()
+    assert got[0]["text"].count("T&C") == 5000 and got[0]["n_chars"] == len(got[0]["text"])
+
+
 def test_pages_of_the_table(spark):
     """Against a plain reading of this table's fixed layout."""
     import html as h
@@ -189,3 +349,28 @@ def test_pipeline(spark, docs):
     packed = corpus_pipeline.STAGES[-1][1](spark, now, SF)
     assert {r["doc_id"] for r in packed.collect()} == kept
     assert corpus_pipeline.run(spark, SF).count() == packed.count()
+
+
+def test_pipeline_edges(spark, docs, tmp_path):
+    """Null texts and ids, blanks, repeats, ties, long texts, extra columns with clashing names; and no rows at all."""
+    rows = frame(spark, [*edge_texts(), "ab cd", "ab cd", "ab  cd"], first=10**6)
+    rows = rows.unionByName(rows.limit(6)).unionByName(docs.limit(50), allowMissingColumns=True)
+    for name, table in (("some", rows), ("none", rows.limit(0))):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        now = spark.read.parquet(str(tmp_path / name / "documents.parquet"))
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, str(tmp_path / name))
+            assert now.columns == rows.columns
+        left = [(r["doc_id"], r["text"]) for r in now.collect()]
+        packed = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert {r["doc_id"] for r in packed} == {d for d, _ in left} and len(set(left)) == len(left)
+        if name == "none":
+            assert left == [] == packed
+        else:
+            assert all(t and any(c.isalpha() for c in t) for _, t in left) and sum(normal_text(t) == "abcd" for _, t in left) == 1
+            kept = {normal_text(t) for _, t in left}
+            assert {normal_text(t) for t in edge_texts() if t in ("a", "NULL-ID")} <= kept
+
+
+def normal_text(t):
+    return re.sub("[\x20\x09-\x0d]", "", t or "")
