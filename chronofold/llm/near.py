@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import MinHash, discard, map_slices, mix64, shingle_hashes, slices, stored
+from chronofold.llm.common import MinHash, cut, discard, map_slices, mix64, shingle_hashes, slices, stored
 
 #: Ids of candidate nodes that are broadcast (24 bytes each); beyond, their texts are found by a shuffled join.
 BROADCAST_ROWS = 500_000
@@ -293,8 +293,7 @@ def rare_shingle_posts(posts: DataFrame, sets: DataFrame, percent: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for part in cut(batch, 1):
                 sets = list(_numbers(part.column(1)))
                 digests = np.array([np.frombuffer(c.as_buffer(), np.uint8) for c in part.column(0)])
                 data = np.repeat(digests, [len(s) for s in sets], axis=0)
