@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import difflib
+import itertools
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,7 +33,11 @@ ENUMERATION = (
     r"[ⅰ-ⅿ]+",
     r"(?<![^\s　])(?:i|ii|iii|iv|v|vi|vii|viii|ix|x)(?=[\s　])",
 )
-DASHES = "‐‑‒–—―−－ー〜～"
+DASHES = "‐‑‒–—―−－~〜～"
+#: In compared names: the signs that don't count, and those that are read as the long-vowel mark.
+IGNORED, LONG_VOWELS = "・･,，、()（）[]「」", "―－-"
+NUMBERED = r"^\s*[0-9０-９]{3}\s*"
+DESIGNATED = r"[・･]?指定承認番号[・･\s]*[0-9A-Z０-９Ａ-Ｚ]{14,17}|[・･]?指定(番号\S*)?$"
 #: Groups of characters that readers confuse, and the letters and digits that stand for each other by position.
 CONFUSABLE = ("B83", "Z27", "O0DQ", "I1LT", "S5", "G6", "A4")
 LETTERS_READ, DIGITS_MEANT = "ODQILTSBGZA", "00011158624"
@@ -79,38 +85,37 @@ def norm_category_text(c: Column) -> Column:
 
 def norm_name(c: Column) -> Column:
     """For comparing names: one kind of dash, no spaces or middle dots, upper case."""
-    c = F.regexp_replace(nfkc(F.translate(F.coalesce(c, F.lit("")), DASHES, "-" * len(DASHES))), f"[{re.escape(DASHES)}~]", "-")
+    c = F.translate(nfkc(F.coalesce(c, F.lit(""))), DASHES, "-" * len(DASHES))
     return F.upper(F.regexp_replace(c, r"(?U)[\s・･]", ""))
 
 
-def _compact(t: str) -> str:
-    t = unicodedata.normalize("NFKC", t.translate(str.maketrans(ROMAN)))
-    t = re.sub(r"[\s・･,，、()（）\[\]「」]", "", t)
-    return t.translate(str.maketrans("―－-", "ーーー"))
+_READ = str.maketrans(ROMAN)
+_MEANT = str.maketrans({**dict.fromkeys(IGNORED), **dict.fromkeys(LONG_VOWELS, "ー")})
 
 
-def _folded(segments: list[str]) -> str:
-    """Joins segments, leaving out one that the next begins with."""
-    kept = [s for s in segments if s]
-    return "".join(s for s, after in zip(kept, [*kept[1:], ""], strict=True) if not (after and after.startswith(s)))
+def _name_key(text: str, border: re.Pattern) -> str:
+    """The letters of a name's parts, from the last part to the first; one that the part after it begins with is left out."""
+    key = after = ""
+    for part in reversed(border.split(text)):
+        letters = "".join(unicodedata.normalize("NFKC", part.translate(_READ)).translate(_MEANT).split())
+        if letters:
+            key = key if after.startswith(letters) else letters + key
+            after = letters
+    return key
 
 
 @pandas_udf(StringType())
 def norm_category(s: pd.Series) -> pd.Series:
     """A listed category for comparison: without its number and enumeration marks, repeated upper names folded."""
-    marks = re.compile("|".join(ENUMERATION))
-
-    def one(x: str | None) -> str:
-        text = re.sub(r"^\s*[0-9０-９]{3}\s*", "", x or "")
-        return _folded([_compact(p) for p in marks.sub("|", text).split("|")])
-
-    return s.map(one)
+    border, numbered = re.compile("|".join(["[|]", *ENUMERATION])), re.compile(NUMBERED)
+    return s.map(lambda x: _name_key(numbered.sub("", x or ""), border))
 
 
 @pandas_udf(StringType())
 def norm_master(s: pd.Series) -> pd.Series:
     """A master name for comparison: its parts between middle dots, repeated upper names folded."""
-    return s.map(lambda x: _folded([_compact(p) for p in re.split("[・･]", x or "")]))
+    border = re.compile("[・･]")
+    return s.map(lambda x: _name_key(x or "", border))
 
 
 def category_no(c: Column) -> Column:
@@ -166,7 +171,7 @@ def gtin_ok(c: Column) -> Column:
 
 def price(c: Column) -> Column:
     """struct(value, unit): the first amount in yen, and what stands before it."""
-    t = half_width(one_line(c))
+    t = nfkc(one_line(c))
     value = F.regexp_replace(F.regexp_extract(t, PRICE, 1), "[,，]", "").try_cast("double")
     unit = F.nullif(F.trim(F.regexp_extract(t, r"^(?s)(.*?)[¥￥]\s*[0-9,，]+", 1)), F.lit(""))
     return F.struct(value.alias("value"), F.when(value.isNotNull(), unit).alias("unit"))
@@ -198,8 +203,8 @@ def norm_class(c: Column) -> Column:
 
 
 def strip_designation(c: Column) -> Column:
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), "[・･]?指定承認番号[・･\\s]*[0-9A-Z０-９Ａ-Ｚ]{14,17}", "")
-    return F.regexp_replace(F.trim(t), "[・･]?指定(番号\\S*)?$", "")
+    """A class without the designation that may follow it."""
+    return F.trim(F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), DESIGNATED, ""))
 
 
 def designated_approval(c: Column) -> Column:
@@ -218,9 +223,13 @@ def heading(c: Column) -> Column:
 
 
 def document_kind(title: Column, base: str) -> Column:
-    """notice, correction, replacement or amendment by title; null for others."""
-    t = half_width(title)
-    return F.when(~t.contains(base), None).when(t.contains("一部訂正"), "correction").when(t.rlike("差し替え|差替"), "replacement").when(t.contains("一部改正"), "amendment").when(t.rlike(re.escape(base) + r"\s*\("), "notice")
+    """notice, correction, replacement or amendment by title; null for others.
+
+    A notice's title starts with the base, which may stand in corner brackets, and goes on with a parenthesis.
+    """
+    t = nfkc(title)
+    plain = t.rlike("^「?" + re.escape(base) + r"」?(?U)\s*\(")
+    return F.when(~t.contains(base), None).when(t.contains("一部訂正"), "correction").when(t.rlike("差し替え|差替"), "replacement").when(t.contains("一部改正"), "amendment").when(plain, "notice")
 
 
 def document_id(url: Column) -> Column:
@@ -260,31 +269,51 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else 1.0 if x == y else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
 
 
-def _distance(a: str, b: str, limit: float) -> float:
-    """Edit distance in which swaps inside a confusable group cost 0.4; limit + 1 as soon as it must exceed the limit."""
-    if abs(len(a) - len(b)) > limit:
-        return limit + 1
-    group = {}
-    for g in CONFUSABLE:
-        for x in g:
-            for y in g:
-                group[x, y] = 0.4
-    row = [float(j) for j in range(len(b) + 1)]
-    for i, x in enumerate(a):
-        diagonal, row[0] = row[0], i + 1.0
-        for j, y in enumerate(b):
-            swap = diagonal + (0.0 if x == y else group.get((x, y), 1.0))
-            diagonal = row[j + 1]
-            row[j + 1] = min(swap, diagonal + 1, row[j] + 1)
-        if min(row) > limit:
-            return limit + 1
-    return row[-1]
+_GROUP = np.full(0x110000, -1, np.int8)
+for _i, _g in enumerate(CONFUSABLE):
+    _GROUP[[ord(_c) for _c in _g]] = _i
+
+
+def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts in rows of equal width, and the texts' lengths."""
+    size = np.array([len(t) for t in texts], np.int64)
+    width = int(size.max(initial=0))
+    return np.frombuffer("".join(t.ljust(width, "\0") for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(texts), width), size
+
+
+def _distances(a: list[str], b: list[str], limit: float) -> np.ndarray:
+    """Edit distances of many pairs at once, in which swaps inside a confusable group cost 0.4; limit + 1 for a pair as soon
+    as it must exceed the limit."""
+    (x, m), (y, n) = _coded(a), _coded(b)
+    far = np.abs(m - n) > limit
+    cells = np.arange(y.shape[1] + 1)
+    beyond = cells[None, :] > n[:, None]
+    row = np.repeat(cells[None, :].astype(float), len(a), axis=0)
+    out = row[np.arange(len(a)), n]
+    for i in range(x.shape[1]):
+        same = x[:, i, None] == y
+        alike = (_GROUP[x[:, i, None]] == _GROUP[y]) & (_GROUP[y] >= 0)
+        best = np.minimum(row[:, :-1] + np.where(same, 0.0, np.where(alike, 0.4, 1.0)), row[:, 1:] + 1)
+        row = np.concatenate([np.full((len(a), 1), i + 1.0), best], axis=1)
+        for j in range(1, row.shape[1]):  # the steps along a row depend on each other
+            np.minimum(row[:, j], row[:, j - 1] + 1, out=row[:, j])
+        now = i < m
+        far |= now & (np.where(beyond, np.inf, row).min(axis=1) > limit)
+        last = i + 1 == m
+        out[last] = row[last, n[last]]
+    return np.where(far, limit + 1, out)
 
 
 def weighted_distance(a: Column, b: Column, limit: float = 3.0) -> Column:
     @pandas_udf(DoubleType())
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else _distance(p, q, limit) for p, q in zip(x, y, strict=True)])
+        both = (x.notna() & y.notna()).to_numpy()
+        out = np.full(len(x), np.nan)
+        at = np.flatnonzero(both)
+        for start in range(0, len(at), 4096):
+            part = at[start : start + 4096]
+            out[part] = _distances(x.iloc[part].tolist(), y.iloc[part].tolist(), limit)
+        return pd.Series(out).astype(object).where(both, None)
 
     return run(a, b)
 
@@ -334,36 +363,45 @@ def _join_lines(lines: list[str]) -> str:
     return re.sub("\n", "", re.sub(r"(?<=[0-9A-Za-z)）])\n(?=[0-9A-Za-z(（])", " ", text))
 
 
+def _mended(text: str) -> list[str]:
+    """The filled lines of a cell, with codes that it broke made whole: one or two digits on a line of their own belong to
+    the code above if they make it right, or if it wasn't right anyway."""
+
+    def whole(m: re.Match) -> str:
+        code, tail = m.groups()
+        return code + tail if len(code + tail) <= 14 and (_gtin_ok(code + tail) or not _gtin_ok(code)) else m[0]
+
+    text, before = "\n".join(filter(None, map(str.strip, text.split("\n")))), None
+    while text != before:
+        text, before = re.sub(r"(\d{8,13})\n(\d{1,2})$", whole, text, count=0, flags=re.MULTILINE), text
+    return text.split("\n") if text else []
+
+
 def _products(cell: str | None) -> dict:
+    """Names and codes by place. Lines with codes cut a cell into stretches of name text.
+
+    A stretch names the codes that follow it, together with the text beside them; codes without any take the name before.
+    The stretch after a first line of one code ends that product's name instead. What is left at the end is a product
+    without a code.
+    """
     text = re.sub("[ \t]+", " ", (cell or "").replace("　", " ")).strip()
     if m := re.search(ANNEX, unicodedata.normalize("NFKC", text)):
         return {"products": [], "annex": m[1]}
-    rows: list[str] = []
-    for line in filter(None, (x.strip() for x in text.split("\n"))):
-        end = re.search(r"\d{8,13}$", rows[-1]) if rows and re.fullmatch(r"\d{1,2}", line) else None
-        # One or two digits alone finish a code that the cell broke, if that makes it right or it wasn't before.
-        if end and len(end[0] + line) <= 14 and (_gtin_ok(end[0] + line) or not _gtin_ok(end[0])):
-            rows[-1] += line
-        else:
-            rows.append(line)
-    found: list[list] = []
-    waiting: list[str] = []
-    last = ""
-    for row in rows:
-        codes = re.findall(PRODUCT_CODE, row)
-        if codes:
-            last = _join_lines([*waiting, re.sub(PRODUCT_CODE, "", row)]) or last
-            waiting = []
-            found += [[last, c] for c in codes]
-        elif len(found) == 1 and not waiting and found[0][0] == last:
-            found[0][0] = last = _join_lines([last, row])
-        else:
-            waiting.append(row)
-    if waiting:
-        if len(found) == 1:
-            found[0][0] = _join_lines([found[0][0], *waiting])
-        else:
-            found.append([_join_lines(waiting), None])
+    lines = _mended(text)
+    codes = [re.findall(PRODUCT_CODE, x) for x in lines]
+    at = [i for i, c in enumerate(codes) if c]
+    stretches = [lines[i + 1 : j] for i, j in zip([-1, *at], [*at, len(lines)], strict=True)]
+    beside = [re.sub(PRODUCT_CODE, "", lines[i]) for i in at]
+    after = []
+    if at and len(codes[at[0]]) == 1:
+        after, stretches[1] = stretches[1], []
+    named = [[*before, own] for before, own in zip(stretches, beside, strict=False)]
+    if named:
+        named[0] += after
+    names = itertools.accumulate(map(_join_lines, named), lambda last, own: own or last)
+    found = [(name, code) for name, i in zip(names, at, strict=True) for code in codes[i]]
+    if stretches[-1]:
+        found.append((_join_lines(stretches[-1]), None))
     return {"products": [{"name": n, "code": c} for n, c in found], "annex": None}
 
 

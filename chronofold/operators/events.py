@@ -16,24 +16,26 @@ def with_groups(listing: DataFrame) -> DataFrame:
 
 
 def live_intervals(listing: DataFrame) -> DataFrame:
-    """Each (entity, product, category, category_no, t) with t_end, the group that lists it anew or moves it away, and
-    moved: whether the product then stands in other categories of the same number. Rows without a number never move.
+    """Each (entity, product, category, t) with t_end, the group that lists it anew or moves it away, moved: whether the
+    product then stands in other categories of the same number, and next: that group with the categories there (t, eff,
+    doc, categories). Rows without a number never move; of several numbers of a category the least counts.
+
+    The groups are dealt by entity, and all that follows keeps to that partitioning.
     """
-    rows = with_groups(listing).where("product is not null").select("entity", "product", "category", "category_no", "t", "eff", "doc").dropDuplicates(["entity", "product", "category", "t"])
-    again = Window.partitionBy("entity", "product", "category").orderBy("t")
-    numbered = rows.where("category_no is not null").select("entity", "product", "category_no", "t").distinct()
-    later = numbered.withColumn("t_number", F.lead("t").over(Window.partitionBy("entity", "product", "category_no").orderBy("t")))
-    rows = rows.withColumn("t_again", F.lead("t").over(again)).join(later, ["entity", "product", "category_no", "t"], "left")
-    moved = F.coalesce(F.col("t_number") < F.coalesce("t_again", F.lit(2**31 - 1)), F.lit(False))
-    return rows.withColumn("moved", moved).withColumn("t_end", F.least("t_again", "t_number")).drop("t_again", "t_number")
+    rows = with_groups(listing).where("product is not null").groupBy("entity", "product", "category", "t").agg(F.min("category_no").alias("category_no"), F.min("eff").alias("eff"), F.min("doc").alias("doc"))
+    groups = rows.groupBy("entity", "product", "category_no", "t").agg(F.min("eff").alias("eff"), F.min("doc").alias("doc"), F.collect_set("category").alias("categories"))
+    later = F.lead(F.struct("t", "eff", "doc", "categories")).over(Window.partitionBy("entity", "product", "category_no").orderBy("t"))
+    groups = groups.withColumn("next", F.when(F.col("category_no").isNotNull(), later))
+    rows = groups.select("entity", "product", "category_no", "t", "eff", "doc", "next", F.explode("categories").alias("category"))
+    rows = rows.withColumn("t_again", F.lead("t").over(Window.partitionBy("entity", "product", "category").orderBy("t")))
+    moved = F.coalesce(F.col("next.t") < F.coalesce("t_again", F.lit(2**31 - 1)), F.lit(False))
+    return rows.withColumn("moved", moved).withColumn("t_end", F.least("t_again", "next.t")).drop("t_again")
 
 
 def category_moves(listing: DataFrame) -> DataFrame:
     """entity, product, from, to, t of each move, with the moving group's eff and doc."""
-    live = live_intervals(listing)
-    gone = live.where("moved").select("entity", "product", "category_no", F.col("category").alias("from"), F.col("t_end").alias("t"))
-    to = live.select("entity", "product", "category_no", "t", F.col("category").alias("to"), "eff", "doc")
-    return gone.join(to, ["entity", "product", "category_no", "t"]).select("entity", "product", "from", "to", "t", "eff", "doc").distinct()
+    gone = live_intervals(listing).where("moved").select("entity", "product", F.col("category").alias("from"), "next")
+    return gone.select("entity", "product", "from", F.explode("next.categories").alias("to"), "next.t", "next.eff", "next.doc").distinct()
 
 
 def move_counts(moves: DataFrame) -> DataFrame:
@@ -53,10 +55,11 @@ def current_state(listing: DataFrame) -> DataFrame:
 
 
 def before_state(listing: DataFrame) -> DataFrame:
-    """The (entity, t, product, category) that hold just before each group: live intervals that began earlier and end at t or later."""
-    live = live_intervals(listing).withColumnRenamed("t", "t_from")
-    groups = with_groups(listing).select("entity", "t").distinct()
-    return groups.join(live, "entity").where("t_from < t and (t_end is null or t_end >= t)").select("entity", "t", "product", "category")
+    """The (entity, t, product, category) that hold just before each group: those of live intervals that began earlier and
+    end at t or later. Groups are numbered without gaps, so an interval is spread over its groups without a join to them."""
+    last = with_groups(listing).groupBy("entity").agg(F.max("t").alias("last_t"))
+    live = live_intervals(listing).join(last, "entity").withColumn("until", F.coalesce("t_end", "last_t")).where("until > t")
+    return live.select("entity", F.explode(F.sequence(F.col("t") + 1, F.col("until"))).alias("t"), "product", "category")
 
 
 def first_seen(listing: DataFrame, by: list[str]) -> DataFrame:
@@ -79,20 +82,24 @@ def categories_added(listing: DataFrame) -> DataFrame:
 
 def price_differences(listing: DataFrame, least: float = 0.5, explained: Column | None = None) -> DataFrame:
     """Prices that differ by ``least`` or more from the category's earlier group; ``explained`` rows don't count."""
-    rows = with_groups(listing).groupBy("entity", "category", "t").agg(F.first("eff").alias("eff"), F.first("doc").alias("doc"), F.min_by("price", F.coalesce("product", F.lit(""))).alias("price"))
+    rows = with_groups(listing).groupBy("entity", "category", "t").agg(F.first("eff").alias("eff"), F.first("doc").alias("doc"), F.min_by("price", F.struct(F.col("product").isNotNull(), "product")).alias("price"))
     w = Window.partitionBy("entity", "category").orderBy("t")
     rows = rows.withColumn("price_before", F.lag("price").over(w)).where(F.abs(F.col("price") - F.col("price_before")) >= least)
     return rows if explained is None else rows.where(~F.coalesce(explained, F.lit(False)))
 
 
 def class_changes(listing: DataFrame) -> DataFrame:
-    """entity, t, added: classes unseen in earlier groups; "C?" is never seen. Not for groups with new products."""
-    groups = with_groups(listing).groupBy("entity", "t").agg(F.collect_set("kubun").alias("kubuns"), F.first("eff").alias("eff"), F.first("doc").alias("doc"))
-    before = Window.partitionBy("entity").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.filter(F.array_distinct(F.flatten(F.collect_list("kubuns").over(before))), lambda k: k != "C?")
-    rows = groups.withColumn("seen", seen).withColumn("added", F.array_sort(F.array_except("kubuns", "seen"))).where((F.size("added") > 0) & (F.size("seen") > 0))
-    new = first_seen(listing.where("product is not null"), ["product"]).select("entity", "t").distinct()
-    return rows.join(new, ["entity", "t"], "left_anti").select("entity", "t", "eff", "doc", "added")
+    """entity, t, added: classes unseen in earlier groups; "C?" is never seen. Not for groups with new products.
+
+    A class is new where it stands for the first time, and something was seen before if the entity's first known class is
+    older: two minima, without gathering what each group has seen.
+    """
+    rows = with_groups(listing).where("kubun is not null").groupBy("entity", "t", "kubun").agg(F.first("eff").alias("eff"), F.first("doc").alias("doc"))
+    rows = rows.withColumn("first_t", F.min("t").over(Window.partitionBy("entity", "kubun"))).withColumn("known_t", F.min(F.when(F.col("kubun") != "C?", F.col("t"))).over(Window.partitionBy("entity")))
+    new = rows.where((F.col("known_t") < F.col("t")) & ((F.col("kubun") == "C?") | (F.col("t") == F.col("first_t"))))
+    found = new.groupBy("entity", "t").agg(F.min("eff").alias("eff"), F.min("doc").alias("doc"), F.array_sort(F.collect_set("kubun")).alias("added"))
+    products = first_seen(listing.where("product is not null"), ["product"]).select("entity", "t").distinct()
+    return found.join(products, ["entity", "t"], "left_anti")
 
 
 def last_names(listing: DataFrame, column: str) -> DataFrame:

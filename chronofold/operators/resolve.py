@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,20 @@ def blocked_similarity(left: DataFrame, right: DataFrame, block: list[str], scor
     return top_k(pairs, by, [F.col("score").desc() if descending else F.col("score").asc(), F.col(candidate)], k)
 
 
+def similar_by_name(rows: DataFrame, block: str, key: str, name: str, score: Callable[[Column, Column], Column], k: int) -> DataFrame:
+    """key, candidate, score, rank: the k other keys of each key's block whose names are nearest, the least key of equals.
+
+    A score is computed for pairs of different names only, and of each name its first k + 1 keys stand for all, since no
+    key can have more than those among its nearest. So the work grows with the names of a block, not with its rows.
+    """
+    heads = top_k(rows.select(block, F.col(name).alias("__name"), F.col(key).alias("candidate")), [block, "__name"], [F.col("candidate")], k + 1).drop("rank")
+    names = rows.select(block, name).distinct()
+    pairs = names.join(heads.select(block, "__name").distinct(), block).withColumn("score", score(F.col(name), F.col("__name"))).where("score is not null")
+    near = top_k(pairs.join(heads, [block, "__name"]).drop("__name"), [block, name], [F.col("score"), F.col("candidate")], k + 1).drop("rank")
+    every = rows.select(block, key, name).join(near, [block, name]).where(F.col(key) != F.col("candidate"))
+    return top_k(every.select(key, "candidate", "score"), [key], [F.col("score"), F.col("candidate")], k)
+
+
 def runner_up_gap(ranked: DataFrame, by: list[str], least: float) -> DataFrame:
     """Rank-one rows whose score (smaller is better) is ahead of the second by ``least``, or that stand alone."""
     w = Window.partitionBy(*by).orderBy("rank")

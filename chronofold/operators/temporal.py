@@ -111,7 +111,7 @@ def infer_retirements(history: DataFrame, presence: DataFrame, mentions: DataFra
         .where("next is not null").join(any_, "code").where("last_any <= next")
     )
     dates = changes.groupBy("file_date", "change_date").agg(F.count("*").alias("n"), F.min("seq").alias("seq"))
-    options = gone.join(dates.withColumnRenamed("file_date", "next"), "next", "left").where("change_date is null or true")
+    options = gone.join(dates.withColumnRenamed("file_date", "next"), "next", "left")
     usable = (F.col("change_date") > F.greatest("last_seen", "last_from")) & (F.col("change_date") <= F.date_add("next", horizon_days))
     best = options.groupBy("code", "last_seen", "next", "last_from").agg(F.max_by("change_date", F.when(usable, F.struct("n", -F.col("seq")))).alias("mode"))
     return best.withColumn("effective", F.coalesce("mode", "next")).where("effective > last_from").select("code", "effective", F.date_sub("effective", 1).alias("retired"), "last_seen", F.col("next").alias("first_absent"))

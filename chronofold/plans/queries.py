@@ -192,22 +192,18 @@ r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score, candid
 
 
 def similar_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    left, right = p.select("p_brand", "p_partkey", "p_name"), p.select("p_brand", F.col("p_partkey").alias("candidate"), F.col("p_name").alias("name2"))
-    score = F.when(F.col("p_partkey") != F.col("candidate"), F.levenshtein("p_name", "name2"))
-    return resolve.blocked_similarity(left, right, ["p_brand"], score, ["p_partkey"], "candidate", 4, descending=False).where("score is not null")
+    p = table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_name")
+    return resolve.similar_by_name(p, "p_brand", "p_partkey", "p_name", F.levenshtein, 3)
 
 
 @register(f"WITH {PAIRS} SELECT p_partkey, candidate, score, rank FROM r")
 def q13_blocked_fuzzy_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = similar_parts(spark, sf_dir).drop("rank")
-    return resolve.top_k(ranked, ["p_partkey"], [F.col("score"), F.col("candidate")], 3).select("p_partkey", "candidate", "score", "rank")
+    return similar_parts(spark, sf_dir).select("p_partkey", "candidate", "score", "rank")
 
 
 @register(f"WITH {PAIRS} SELECT p_partkey, candidate, score FROM (SELECT *, lead(score) OVER (PARTITION BY p_partkey ORDER BY rank) AS s2 FROM r) WHERE rank = 1 AND (s2 IS NULL OR s2 - score >= 1)")
 def q14_runner_up_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = resolve.top_k(similar_parts(spark, sf_dir).drop("rank"), ["p_partkey"], [F.col("score"), F.col("candidate")], 3)
-    return resolve.runner_up_gap(ranked, ["p_partkey"], 1).select("p_partkey", "candidate", "score")
+    return resolve.runner_up_gap(similar_parts(spark, sf_dir), ["p_partkey"], 1).select("p_partkey", "candidate", "score")
 
 
 @register("""SELECT l.l_orderkey, l.l_linenumber, i.o_orderkey AS during FROM lineitem l JOIN orders own ON l.l_orderkey = own.o_orderkey
@@ -463,13 +459,13 @@ def q46_correction_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corrections.match_status(base, deletes, adds).select("target_doc", "step", "matched")
 
 
-@register("""WITH h AS (SELECT o_custkey AS code, CAST(o_orderdate AS DATE) AS f, lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS u, o_orderpriority AS name, o_orderkey FROM orders WHERE o_custkey % 5 = 0),
+@register("""WITH h AS (SELECT o_custkey AS code, CAST(o_orderdate AS DATE) AS f, lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS u, o_orderpriority || o_orderkey % 97 AS name, o_orderkey FROM orders),
 l AS (SELECT code, arg_max(name, (f, o_orderkey)) AS name, max(f) AS f FROM h GROUP BY 1), d AS (SELECT code, name, f + 31 AS day FROM l WHERE code % 2 = 0)
 SELECT DISTINCT d.code, n.code AS successor FROM d JOIN (SELECT DISTINCT name, code FROM h) n ON n.name = d.name AND n.code <> d.code JOIN h a ON a.code = n.code AND a.f <= d.day AND (a.u IS NULL OR d.day < a.u)""")
 def q47_successors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_custkey % 5 = 0").withColumn("f", F.to_date("o_orderdate"))
+    o = table(spark, sf_dir, "orders").withColumn("f", F.to_date("o_orderdate")).withColumn("name", F.concat("o_orderpriority", (F.col("o_orderkey") % 97).cast("string")))
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    h = o.select(F.col("o_custkey").alias("code"), F.col("f").alias("valid_from"), F.lead("f").over(w).alias("valid_to"), F.lit("2").alias("schedule"), F.col("o_orderpriority").alias("name"), F.lit(None).cast("date").alias("retired"), "o_orderkey")
+    h = o.select(F.col("o_custkey").alias("code"), F.col("f").alias("valid_from"), F.lead("f").over(w).alias("valid_to"), F.lit("2").alias("schedule"), "name", F.lit(None).cast("date").alias("retired"), "o_orderkey")
     # A code's end is a version of its own, never in force, so that an ended code may still succeed another, as in the SQL.
     last = h.groupBy("code").agg(F.max_by("name", F.struct("valid_from", "o_orderkey")).alias("name"), F.max("valid_from").alias("f")).where("code % 2 = 0")
     ends = last.select("code", F.date_add("f", 1).alias("valid_from"), F.date_add("f", 1).alias("valid_to"), F.lit("2").alias("schedule"), "name", F.date_add("f", 30).alias("retired"))

@@ -47,10 +47,57 @@ def test_split_products(spark, cell, products, annex):
     assert [(p["name"], p["code"]) for p in got["products"]] == products and got["annex"] == annex
 
 
+@pytest.mark.parametrize(
+    ("cell", "products"),
+    [
+        ("A\n45805804413\n88", [("A", "4580580441388")]),  # a broken code
+        ("4580387600308\nName after\nand more", [("Name after and more", "4580387600308")]),
+        ("One 4580387600308\ntail\n4580443838317", [("One tail", "4580387600308"), ("One tail", "4580443838317")]),
+        ("One 4580387600308 4580443838317\nNext\n4580443838324\nlast", [("One", "4580387600308"), ("One", "4580443838317"), ("Next", "4580443838324"), ("last", None)]),
+        ("4580580441388\n12", [("12", "4580580441388")]),  # a right code isn't made wrong
+    ],
+)
+def test_names_and_codes_by_place(spark, cell, products):
+    assert [(p["name"], p["code"]) for p in one(spark, cell, text.split_products)["products"]] == products
+
+
+@pytest.mark.parametrize(
+    ("title", "kind"),
+    [("医療の適用について(令和8年)", "notice"), ("「医療の適用について」（令和8年）", "notice"), ("｢医療の適用について｣ (1)", "notice"), ("先の医療の適用について(令和8年)", None), ("「医療の適用について」の一部訂正について", "correction"), ("医療の適用について(差替)", "replacement"), ("「医療の適用について」の一部改正", "amendment"), ("別の件", None), (None, None)],
+)
+def test_document_kind(spark, title, kind):
+    assert one(spark, title, lambda c: text.document_kind(c, "医療の適用について")) == kind
+
+
+def test_name_keys(spark):
+    assert one(spark, "コーヒ―・ｺｰﾋ- Ⅻ", text.norm_name) == one(spark, "コーヒ－ コーヒ～ Ⅻ", text.norm_name) != one(spark, "コーヒーコーヒーⅫ", text.norm_name)
+    assert one(spark, "カテーテル・カテーテル（Ⅱ）・先", text.norm_master) == "カテーテル2先"
+    assert one(spark, None, text.norm_master) == "" and one(spark, "012　Ａ ①Ａ-B", text.norm_category) == "AーB"
+
+
+def plain_distance(a, b, limit):
+    group = {(x, y) for g in text.CONFUSABLE for x in g for y in g}
+    table = [[float(i + j) if not i or not j else 0.0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            swap = 0.0 if a[i - 1] == b[j - 1] else 0.4 if (a[i - 1], b[j - 1]) in group else 1.0
+            table[i][j] = min(table[i - 1][j - 1] + swap, table[i - 1][j] + 1, table[i][j - 1] + 1)
+    return limit + 1 if abs(len(a) - len(b)) > limit or any(min(r) > limit for r in table[1:]) else table[-1][-1]
+
+
+def test_distances_of_many_pairs():
+    import random
+
+    draw = random.Random(3)
+    a = ["".join(draw.choice("B8Z2O01IX") for _ in range(draw.randint(0, 16))) for _ in range(500)]
+    b = ["".join(c if draw.random() > 0.2 else draw.choice(["", "8", "0", "X1"]) for c in x) for x in a]
+    assert text._distances(a, b, 3.0) == pytest.approx([plain_distance(x, y, 3.0) for x, y in zip(a, b, strict=True)])
+
+
 def test_price(spark):
     assert tuple(one(spark, "¥29,600", text.price)) == (29600.0, None)
     assert one(spark, "1㎠当たり¥452", text.price)["value"] == 452.0
-    assert one(spark, "1㎠当たり¥452", text.price)["unit"].startswith("1")
+    assert one(spark, "1㎠当たり¥452", text.price)["unit"] == "1cm2当たり"
     assert one(spark, "2枚1組¥17,600", text.price)["value"] == 17600.0
     assert tuple(one(spark, "なし", text.price)) == (None, None)
 
