@@ -17,16 +17,6 @@ def top_k(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str =
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= k)
 
 
-def blocked_similarity(left: DataFrame, right: DataFrame, block: list[str], score: Column, by: list[str], candidate: str, k: int, descending: bool = True) -> DataFrame:
-    """The best k candidates of each left key within its block, by the best score of each candidate.
-
-    Callers give distinct keys and names on both sides, so that a score is computed once for each pair of them.
-    """
-    best = F.max("score") if descending else F.min("score")
-    pairs = left.join(right, block).withColumn("score", score).groupBy(*by, candidate).agg(best.alias("score"))
-    return top_k(pairs, by, [F.col("score").desc() if descending else F.col("score").asc(), F.col(candidate)], k)
-
-
 def similar_by_name(rows: DataFrame, block: str, key: str, name: str, score: Callable[[Column, Column], Column], k: int) -> DataFrame:
     """key, candidate, score, rank: the k other keys of each key's block whose names are nearest, the least key of equals.
 

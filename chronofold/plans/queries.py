@@ -527,3 +527,6 @@ def q53_master_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = order_history(spark, sf_dir).select(F.col("o_custkey").alias("code"), F.col("d").alias("valid_from"), F.round(F.col("price") * 100).cast("bigint").alias("price"), F.nullif("priority", F.lit("5-LOW")).alias("name"), F.when(F.col("priority") == "1-URGENT", F.date_add("d", 30)).alias("retired"))
     used = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("entity"), F.col("c_custkey").alias("code"), F.lit("1994-06-01").cast("date").alias("since"))
     return usage.master_events(used, h, F.lit("1998-01-01").cast("date")).withColumns(iso("event_date"))
+
+
+from chronofold.plans import rules  # noqa: E402, F401  registers further queries
