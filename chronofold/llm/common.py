@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a slice end when their texts reach so many bytes; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
+#: Rows of an Arrow batch while a table is stored.
+BATCH_ROWS = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,13 +91,30 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/chronofold-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """While a table is written, Arrow batches have ``rows`` rows at most, so that texts and sets come in few MB. The
+    session's setting is put back; a lower one stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """The frame as a table in the shared folder: cuts lineage, and survives lost executors."""
     spark, path = df.sparkSession, f"{shared_folder(df.sparkSession)}.parquet"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with short_batches(spark):
+        writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

@@ -25,6 +25,8 @@ IGNORED = b" \t\n\v\f\r"
 MAX_DEPTH, BUCKET_ROWS = 16, 4096
 #: Texts that a scan task holds before it sends them on.
 HELD_BYTES = 48 << 20
+#: Texts whose copies a scan task thins at a time where whole rows are sent on.
+THIN_BYTES = 8 << 20
 
 
 def _key(digest: bytes) -> int:
@@ -199,30 +201,29 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = [f"c{i}" for i in range(len(docs.columns))]  # the columns by place, so that no name clashes
     plain = docs.toDF(*names)
     at = docs.columns.index(text_col)
-    kinds = StructType([*plain.schema.fields, *StructType().add("id", LongType()).add("body", BinaryType()).add("size", LongType()).fields])
     size = F.coalesce(F.length(F.col(names[at]).cast("string")), F.lit(0)).cast("bigint")
-    own_id = F.col(names[docs.columns.index(id_col)]).cast("bigint")
-    rows = plain.select(*names, own_id.alias("id"), F.col(names[at]).cast("string").cast("binary").alias("body"), size.alias("size"))
-    width, dealt = len(names), StructType([*kinds.fields, *StructType().add("key", LongType()).add("owner", IntegerType()).fields])
+    rows = plain.withColumns({"id": F.col(names[docs.columns.index(id_col)]).cast("bigint"), "size": size})
+    width, dealt = len(names), StructType([*rows.schema.fields, *StructType().add("key", LongType()).add("owner", IntegerType()).fields])
+
+    def bodies_of(table: pa.Table) -> list[bytes]:
+        return [(t or b"").translate(None, IGNORED) for t in table.column(at).cast(pa.string()).cast(pa.binary()).to_pylist()]
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        def emit(parts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
             table = pa.Table.from_batches(parts)
-            bodies = [(b or b"").translate(None, IGNORED) for b in table.column(width + 1).to_pylist()]
-            stay = _winners(bodies, table.column(width + 2).to_pylist(), table.column(width).to_pylist())
-            table = table.take(pa.array(stay, pa.int64()))
+            bodies = bodies_of(table)
+            stay = _winners(bodies, table.column(width + 1).to_pylist(), table.column(width).to_pylist())
             keys = [_key(hashlib.sha256(bodies[i]).digest()) for i in stay]
             cells = (np.array(keys, np.int64).astype(np.uint64) >> np.uint64(64 - MAX_DEPTH)).astype(np.int64)
-            table = table.set_column(width + 1, "body", pa.array([bodies[i] for i in stay], pa.binary()))
-            table = table.append_column("key", pa.array(keys, pa.int64())).append_column("owner", pa.array(owner_of[cells], pa.int32()))
-            return table.combine_chunks().to_batches()
+            table = table.take(pa.array(stay, pa.int64()))
+            return table.append_column("key", pa.array(keys, pa.int64())).append_column("owner", pa.array(owner_of[cells], pa.int32())).combine_chunks().to_batches()
 
         held, kept = [], 0
         for batch in batches:
-            for part in cut(batch, width + 1):
+            for part in cut(batch, at):
                 held.append(part)
-                kept += part.column(width + 1).nbytes
-                if kept > HELD_BYTES // 4:
+                kept += part.column(at).nbytes
+                if kept > THIN_BYTES:
                     yield from emit(held)
                     held, kept = [], 0
         if held:
@@ -232,13 +233,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         """Rows come in the order of keys. The winners so far of the last key are carried from part to part."""
         carried: pa.Table | None = None
         for batch in batches:
-            for part in cut(batch, width + 1):
+            for part in cut(batch, at):
                 table = pa.Table.from_batches([part])
                 if carried is not None:
                     table = pa.concat_tables([carried, table])
-                keys = table.column(width + 3).to_pylist()
-                bodies = table.column(width + 1).to_pylist()
-                stay = sorted(_winners(bodies, table.column(width + 2).to_pylist(), table.column(width).to_pylist()))
+                keys = table.column(width + 2).to_pylist()
+                stay = sorted(_winners(bodies_of(table), table.column(width + 1).to_pylist(), table.column(width).to_pylist()))
                 open_, done = [i for i in stay if keys[i] == keys[-1]], [i for i in stay if keys[i] != keys[-1]]
                 carried = table.take(pa.array(open_, pa.int64()))
                 yield from table.select(range(width)).take(pa.array(done, pa.int64())).combine_chunks().to_batches()
