@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -29,8 +30,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[list[li
             yield [c.to_pylist() for c in part.columns]
 
 
-def map_slices(df: DataFrame, schema: str, make: Callable[[], Callable[[list[list]], list[list]]], text: int = 1) -> DataFrame:
-    """A narrow map: ``make()`` runs once in each task and returns the function from a slice's columns to result columns."""
+def map_slices(df: DataFrame, schema: str, make: Callable[[], Callable[[list[list]], list[list]]], text: int = 1, after: Callable[[], None] | None = None) -> DataFrame:
+    """A narrow map: ``make()`` runs once in each task and returns the function from a slice's columns to result columns.
+    ``after()`` runs when a task has read its rows."""
     from pyspark.sql.types import StructType, _parse_datatype_string  # noqa: PLC2701
 
     kinds: StructType = _parse_datatype_string(schema)
@@ -43,10 +45,21 @@ def map_slices(df: DataFrame, schema: str, make: Callable[[], Callable[[list[lis
         for columns in slices(batches, text):
             out = step(columns)
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
+        if after:
+            after()
+        release()
 
     return df.mapInArrow(run, kinds)
 
 
+def release() -> None:
+    """Gives a worker's free memory back, as Spark keeps workers for the tasks of later operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def cut(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     """The batch in parts, without a copy, of about SLICE_BYTES of column ``text`` each."""
     step = max(1, int(SLICE_BYTES / max(1.0, batch.column(text).nbytes / max(1, batch.num_rows))))
@@ -62,6 +75,7 @@ def filter_texts(docs: DataFrame, text_col: str, stays: Callable[[str | None], b
         for batch in batches:
             for part in cut(batch, at):
                 yield part.filter(pa.array([stays(t) for t in part.column(at).to_pylist()], pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -75,6 +89,7 @@ def replace_texts(docs: DataFrame, text_col: str, change: Callable[[str], str])
             for part in cut(batch, at):
                 texts = [None if t is None else change(t) for t in part.column(at).to_pylist()]
                 yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructType
 
-from chronofold.llm.common import cut, map_slices, read_table, stored, tasks_of
+from chronofold.llm.common import cut, map_slices, read_table, release, stored, tasks_of
 
 #: The characters that don't count: fixed values of the contract, [\x20\x09-\x0D].
 IGNORED = b" \t\n\v\f\r"
@@ -228,6 +228,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     held, kept = [], 0
         if held:
             yield from emit(held)
+        del held
+        release()
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come in the order of keys. The winners so far of the last key are carried from part to part."""
@@ -244,6 +246,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 yield from table.select(range(width)).take(pa.array(done, pa.int64())).combine_chunks().to_batches()
         if carried is not None:
             yield from carried.select(range(width)).combine_chunks().to_batches()
+        del carried
+        release()
 
     local = rows.mapInArrow(thin, dealt)
     kept = local.repartitionById(tasks, F.col("owner")).sortWithinPartitions("key").mapInArrow(own, plain.schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import MinHash, cut, discard, map_slices, mix64, shingle_hashes, slices, stored
+from chronofold.llm.common import MinHash, cut, discard, map_slices, mix64, release, shingle_hashes, slices, stored
 
 #: Ids of candidate nodes that are broadcast (24 bytes each); beyond, their texts are found by a shuffled join.
 BROADCAST_ROWS = 500_000
@@ -81,6 +81,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, k: int, key
                 held, ids = {}, 0
         if held:
             yield emit(held)
+        del held
+        release()
 
     rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string").cast("binary"), mark_of(F.col(text_col)))
     return rows.mapInArrow(run, "node binary, n bigint, tokens array<bigint>, ids array<bigint>, marks array<bigint>")
@@ -162,6 +164,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             found = batch.select([0, 3]).filter(pa.array(good, pa.bool_()))
             if found.num_rows:
                 yield pa.RecordBatch.from_arrays(found.columns, names=["a", "b"])
+        release()
 
     return rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "follows").mapInArrow(run, "a binary, b binary")
 
@@ -256,6 +259,8 @@ def links_in_lists(posts: DataFrame, nodes: DataFrame, sets: DataFrame, percent:
                     block.add(node, component, tokens, shingles)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.binary()), pa.array([max(p) for p in found], pa.binary())], names=["a", "b"])
+        del block
+        release()
 
     return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "own").mapInArrow(run, "a binary, b binary").distinct()
 

@@ -145,7 +145,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
         return step
 
-    return map_slices(docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")), schema, make)
+    return map_slices(docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")), schema, make, after=lambda: encoder(path).table.clear())
 
 
 def lower_bound(counts: np.ndarray) -> int:
