@@ -267,3 +267,50 @@ def q78_final_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of one key, as it is typed, in their final order with shortened labels."""
     o = reports.rows_of(table(spark, sf_dir, "orders").withColumn("d", F.to_date("o_orderdate")), "o_orderpriority", " 1-urgent ")
     return reports.ordinal(o, ["o_custkey"], ["d", "o_orderkey"]).select("o_custkey", "o_orderkey", "ordinal", reports.shortened(F.col("o_orderpriority"), 4).alias("short"))
+
+
+def gtin13_sql(code: str) -> str:
+    """Whether a code of 13 digits has the right check digit."""
+    return f"((10 - list_sum([CAST(substr({code}, i, 1) AS INT) * CASE WHEN i % 2 = 0 THEN 3 ELSE 1 END FOR i IN range(1, 13)]) % 10) % 10 = CAST(substr({code}, 13, 1) AS INT))"
+
+
+FIXES = "CASE o_orderkey % 4 WHEN 0 THEN 'exact' WHEN 1 THEN 'none' WHEN 2 THEN 'fuzzy' END"
+NUMBERS = "CASE WHEN o_custkey % 3 = 0 THEN 'ABC' ELSE lpad(CAST(o_custkey % 1000 AS STRING), 3, '0') END || CASE WHEN o_custkey % 5 = 0 THEN ' aabzx' ELSE 'AABZX' END || lpad(CAST(o_orderkey AS STRING), CASE WHEN o_custkey % 7 = 0 THEN 4 ELSE 8 END, '0')"
+
+
+@register(f"""WITH x AS (SELECT *, {FIXES} AS fix, upper(replace({NUMBERS}, ' ', '')) AS number, '490' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS read FROM orders)
+SELECT o_orderkey, coalesce(fix IN ('exact', 'jan', 'fuzzy', 'page'), false) OR (length(number) >= 14 AND regexp_matches(substr(number, 1, 3), '[0-9]')) AS usable,
+CASE WHEN fix = 'none' AND NOT {gtin13_sql("read")} THEN NULL ELSE read END AS code,
+CASE WHEN o_custkey % 3 = 2 THEN 'c' || o_custkey ELSE replace(o_orderpriority, ' ', '') END AS category FROM x""")
+def q79_usable_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and codes that may be used after repair, and keys of categories."""
+    o = table(spark, sf_dir, "orders").withColumns({"fix": F.expr(FIXES), "number": F.expr(NUMBERS), "read": F.concat(F.lit("490"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0"))})
+    known = F.when(F.col("o_custkey") % 3 == 2, F.concat(F.lit("c"), F.col("o_custkey").cast("string"))).when(F.col("o_custkey") % 3 == 0, "")
+    return o.select(
+        "o_orderkey", projections.usable_approval(F.col("number"), F.col("fix")).alias("usable"), projections.usable_code(F.col("read"), F.col("fix")).alias("code"),
+        projections.category_key(known, F.concat(F.lit("  "), "o_orderpriority", F.lit(" "))).alias("category"),
+    )
+
+
+@register(f"""WITH x AS (SELECT l_orderkey, l_linenumber, l_suppkey, lpad(CAST(l_suppkey * 37 + 4000000 AS VARCHAR), 7, '0') || lpad(CAST(l_partkey % 100000 AS VARCHAR), 5, '0') AS body FROM lineitem),
+y AS (SELECT *, body || CAST((10 - list_sum([CAST(substr(body, i, 1) AS INT) * CASE WHEN i % 2 = 0 THEN 3 ELSE 1 END FOR i IN range(1, 13)]) % 10) % 10 AS VARCHAR) AS good FROM x),
+z AS (SELECT *, list_aggregate([CASE WHEN (l_linenumber = 3 AND i = 3) OR (l_linenumber = 4 AND i IN (3, 5, 7)) OR (l_linenumber = 5 AND i = 10) THEN CAST((CAST(substr(good, i, 1) AS INT) + 1) % 10 AS VARCHAR) ELSE substr(good, i, 1) END FOR i IN range(1, 14)], 'string_agg', '') AS code FROM y),
+p AS (SELECT l_suppkey, substr(code, 1, 7) AS prefix FROM z WHERE {gtin13_sql("code")} GROUP BY l_suppkey, substr(code, 1, 7) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY count(*) DESC, substr(code, 1, 7)) = 1),
+f AS (SELECT z.*, prefix || substr(code, 8, 6) AS fixed FROM z LEFT JOIN p USING (l_suppkey))
+SELECT l_orderkey, l_linenumber, code, CASE WHEN NOT {gtin13_sql("code")} AND fixed IS NOT NULL AND {gtin13_sql("fixed")} AND list_sum([CASE WHEN substr(code, i, 1) = substr(fixed, i, 1) THEN 0 ELSE 1 END FOR i IN range(1, 14)]) <= 2 THEN fixed ELSE code END AS repaired FROM f""")
+def q80_prefix_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes misread in one place or three of their prefix, or behind it, against the majority prefix of their group."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.expr("lpad(CAST(l_suppkey * 37 + 4000000 AS STRING), 7, '0') || lpad(CAST(l_partkey % 100000 AS STRING), 5, '0')").alias("body"))
+    check = "(10 - aggregate(transform(sequence(1, 12), i -> CAST(substring(body, i, 1) AS INT) * IF(i % 2 = 0, 3, 1)), 0, (a, x) -> a + x) % 10) % 10"
+    misread = "(l_linenumber = 3 AND i = 3) OR (l_linenumber = 4 AND i IN (3, 5, 7)) OR (l_linenumber = 5 AND i = 10)"
+    good = lines.withColumn("good", F.concat("body", F.expr(check).cast("string")))
+    read = good.withColumn("code", F.expr(f"array_join(transform(sequence(1, 13), i -> IF({misread}, CAST((CAST(substring(good, i, 1) AS INT) + 1) % 10 AS STRING), substring(good, i, 1))), '')"))
+    return repair.repair_by_prefix(read, ["l_suppkey"]).select("l_orderkey", "l_linenumber", "code", "repaired")
+
+
+@register("""SELECT CASE WHEN l_partkey % 4 = 0 THEN 'ABC' ELSE lpad(CAST(l_suppkey % 1000 AS VARCHAR), 3, '0') END || 'AABZX' || lpad(CAST(l_partkey % 50 AS VARCHAR), 8, '0') AS number, count(DISTINCT l_orderkey) AS n_docs
+FROM lineitem WHERE l_partkey % 4 <> 0 GROUP BY 1 HAVING count(DISTINCT l_orderkey) >= 3""")
+def q81_structurally_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of the right form that stand in three documents or more."""
+    number = F.expr("CASE WHEN l_partkey % 4 = 0 THEN 'ABC' ELSE lpad(CAST(l_suppkey % 1000 AS STRING), 3, '0') END || 'AABZX' || lpad(CAST(l_partkey % 50 AS STRING), 8, '0')")
+    return repair.structurally_valid(table(spark, sf_dir, "lineitem").select(number.alias("number"), F.col("l_orderkey").alias("doc_id")))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -154,12 +156,39 @@ def stale_documents(manifest: DataFrame, parsed: DataFrame, version: int) -> Dat
 
 
 def read_wide_products(spark: SparkSession, path: str, required: list[str], encoding: str = "cp932") -> DataFrame:
-    """A wide product table with a header, as strings; fails if a required column is missing."""
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    df = spark.read.option("header", True).option("encoding", "MS932" if encoding == "cp932" else encoding).csv(path)
-    if missing := [c for c in required if c not in df.columns]:
+    """Wide product tables with headers, as strings: one task for each file, columns by name, absent and empty fields null.
+
+    Fails if a file's header lacks a required column, or if no file has one.
+    """
+    files = spark.read.format("binaryFile").load(path).select("content")
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[list[str]]]:
+        for batch in batches:
+            for content in batch.column(0):
+                yield csv.reader(io.TextIOWrapper(io.BytesIO(content.as_buffer()), encoding, errors="replace", newline=""))
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in tables(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([next(table, [])], pa.list_(pa.string()))], names=["header"])
+
+    headers = sorted(r["header"] for r in files.mapInArrow(heads, "header array<string>").distinct().collect())  # one row for each layout
+    if missing := [c for c in required if not headers or any(c not in h for h in headers)]:
         raise ValueError(f"columns are missing: {', '.join(missing)}")
-    return df
+    names = [c for c in dict.fromkeys(c for h in headers for c in h) if c]
+    kinds = StructType()
+    for c in names:
+        kinds.add(c, "string")
+    arrow = to_arrow_schema(kinds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in tables(batches):
+            places = {c: i for i, c in enumerate(next(table, []))}
+            order = [places.get(c, sys.maxsize) for c in names]
+            while rows := list(itertools.islice(table, 10_000)):
+                filled = [r for r in rows if r]
+                yield pa.RecordBatch.from_arrays([pa.array([(r[i] if i < len(r) else "") or None for r in filled], pa.string()) for i in order], schema=arrow)
+
+    return files.mapInArrow(run, kinds)
 
 
 def foreign_events(df: DataFrame) -> DataFrame:
