@@ -130,7 +130,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     members = stored(sketches(docs, id_col, text_col, SHINGLE, BANDS * BAND_ROWS, bands))
     nodes = stored(nodes_of(members))
-    labels = search(docs, nodes, nodes.select("node", F.explode("tokens").alias("key")).distinct(), 1, percent, id_col, text_col, SHINGLE)
+    posts = stored(nodes.select("node", F.explode("tokens").alias("key")).distinct())
+    labels = search(docs, nodes, posts, 1, percent, id_col, text_col, SHINGLE)
     return label_members(members.select("node", "n", "ids", "marks"), nodes.select("node", "first_id"), labels).drop("mark")
 
 

@@ -14,8 +14,8 @@ from math import comb
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import read_table, stored
-from chronofold.llm.near import label_members, mark_of, nodes_of, search, sketches
+from chronofold.llm.common import discard, read_table, stored
+from chronofold.llm.near import label_members, mark_of, nodes_of, search, shared_keys, sketches
 
 COORDINATES, MISS = 32, 1e-7
 
@@ -32,13 +32,15 @@ def match_threshold(k: int, similarity: float, miss: float = MISS) -> int:
 
 
 def prefix_posts(nodes: DataFrame, k: int, threshold: int) -> DataFrame:
-    """key and node for the coordinate-value pairs in each set's prefix that other sets have too."""
+    """A stored table of key and node for the coordinate-value pairs in each set's prefix that other sets have too."""
     tokens = nodes.select("node", F.explode("tokens").alias("key"))
-    shared = tokens.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    shared = shared_keys(tokens, "sets")
     # Pairs that one set alone has come first in its prefix and find nothing; they shorten what is posted.
     own = tokens.join(shared, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("sets", "key"))).alias("own"))  # k at most
     room = F.size("own") - F.lit(threshold) + 1
-    return own.where(room > 0).select("node", F.explode(F.slice("own", 1, room)).alias("x")).select("node", F.col("x.key").alias("key"))
+    posts = stored(own.where(room > 0).select("node", F.explode(F.slice("own", 1, room)).alias("x")).select("node", F.col("x.key").alias("key")))
+    discard(shared)
+    return posts
 
 
 def near_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, k: int = COORDINATES) -> DataFrame:

@@ -223,7 +223,8 @@ class Block:
 
 
 def links_in_lists(posts: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, threshold: int) -> DataFrame:
-    """a, b: links across components within each list (key, node, component, n), enough of them to join all that are linked.
+    """A stored table of a, b: links across components within each list (key, node, component, n), enough of them to join
+    all that are linked.
 
     The largest component of a list is not compared with itself. The other nodes are cut into blocks by bytes; a block
     is a unit of work with itself, with each other block, and with each block of the largest component. A task holds one
@@ -234,7 +235,7 @@ def links_in_lists(posts: DataFrame, nodes: DataFrame, sets: DataFrame, percent:
     groups = posts.groupBy("key", "component").agg(weight.alias("bytes"))
     lists = groups.groupBy("key").agg(F.max(F.struct("bytes", "component")).alias("most"), F.sum("bytes").alias("all"))
     own, rest = F.ceil(F.col("most.bytes") / BLOCK_BYTES), F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("most.bytes")) / BLOCK_BYTES))
-    lists = lists.select("key", F.col("most.component").alias("largest"), own.alias("large_blocks"), rest.alias("rest_blocks"))
+    lists = stored(lists.select("key", F.col("most.component").alias("largest"), own.alias("large_blocks"), rest.alias("rest_blocks")))
     units = posts.join(lists, "key").withColumn("inside", F.col("component") == F.col("largest"))
     block = F.when(F.col("inside"), F.col("rest_blocks") + F.pmod(F.xxhash64("node"), "large_blocks")).otherwise(F.pmod(F.xxhash64("node"), "rest_blocks"))
     last = F.when(F.col("inside"), F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("large_blocks")) - 1
@@ -262,7 +263,9 @@ def links_in_lists(posts: DataFrame, nodes: DataFrame, sets: DataFrame, percent:
         del block
         release()
 
-    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "own").mapInArrow(run, "a binary, b binary").distinct()
+    found = stored(rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "own").mapInArrow(run, "a binary, b binary").distinct())
+    discard(lists)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -287,8 +290,18 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def rare_shingle_posts(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """key and node for the nodes of long lists, by prefixes of their full sets instead of those lists.
+def shared_keys(rows: DataFrame, name: str) -> DataFrame:
+    """A stored table of the keys that several rows (key, ...) have, with their number as ``name``.
+
+    Stored, so that a join with it isn't tied to the shuffle that counted: Spark broadcasts it while its files are below
+    the session's threshold, and beyond can split a partition of rows with a hot key.
+    """
+    return stored(rows.groupBy("key").agg(F.count("*").alias(name)).where(F.col(name) > 1))
+
+
+def rare_shingle_posts(posts: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """key and node for the nodes of long lists, by prefixes of their full sets instead of those lists; and the stored table
+    of shared shingles that this plan reads.
 
     With shingles in order of how many of these sets have them, two sets of the similarity share one among the rarest
     n - ceil(percent n / 100) + 1 of each. Far copies of one text have too many rare ones to meet there. Also gives n and
@@ -307,24 +320,25 @@ def rare_shingle_posts(posts: DataFrame, sets: DataFrame, percent: int) -> DataF
                 yield pa.RecordBatch.from_arrays([names, pa.array(np.concatenate(sets).view(np.int64))], names=["node", "key"])
 
     every = inside.mapInArrow(run, "node binary, key bigint")
-    shared = every.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    shared = shared_keys(every, "sets")
     own = every.join(shared, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("sets", "key"))).alias("own"))
     n = inside.select("node", (F.octet_length("shingles") / 8).cast("bigint").alias("n"))
     room = (F.size("own") - F.ceil(percent * F.col("n") / 100) + 1).cast("int")  # those that no other set has come first
     rows = own.join(n, "node").where(room > 0).select("node", "n", F.size("own").alias("shared"), F.posexplode(F.slice("own", F.lit(1), room)).alias("at", "x"))
-    return rows.select(F.xxhash64("x.key").alias("key"), "node", "n", (F.col("shared") - F.col("at")).cast("bigint").alias("rest"))
+    return rows.select(F.xxhash64("x.key").alias("key"), "node", "n", (F.col("shared") - F.col("at")).cast("bigint").alias("rest")), shared
 
 
 def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, threshold: int, percent: int, id_col: str, text_col: str, size: int) -> DataFrame | None:
     """Components (node, component) of the verified links between nodes that share a key and ``threshold`` tokens or more.
 
-    posts: key, node. None: no links at all.
+    posts: key, node, a stored table that is removed in the end. None: no links at all.
 
     Nodes of long lists are posted anew under the rarest shingles of their full sets, which is exact too and keeps far
     copies of one text, or texts with one common passage, from being compared pair by pair.
     """
-    lists = posts.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
-    posts = stored(posts.join(lists, "key").select("key", "node", "length"))
+    lists, before = shared_keys(posts, "length"), posts
+    posts = stored(before.join(lists, "key").select("key", "node", "length"))
+    discard(before, lists)
     wanted = stored(posts.select("node").distinct().join(nodes.select("node", "n", "tokens", "first_id"), "node"))
     if wanted.isEmpty():
         discard(posts, wanted)
@@ -332,10 +346,13 @@ def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, threshold: int,
     sets = sets_of(docs, wanted, id_col, text_col, size)
     facts = wanted.select("node", "n").join(posts.groupBy("node").agg(F.sum("length").alias("weight")), "node")
     kept = posts.where(F.col("length") <= LONG_LIST).join(facts, "node").select("key", "node", "n", F.col("n").alias("rest"), "weight")
+    before = [posts]
     if not posts.where(F.col("length") > LONG_LIST).isEmpty():
-        kept = kept.unionByName(rare_shingle_posts(posts, sets, percent).join(facts.select("node", "weight"), "node"))
-    before, posts = posts, stored(kept)
-    discard(before)
+        rare, shared = rare_shingle_posts(posts, sets, percent)
+        kept = kept.unionByName(rare.join(facts.select("node", "weight"), "node"))
+        before.append(shared)
+    posts = stored(kept)
+    discard(*before)
     most = F.least("rest", "rest2")
     close = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (100 * most >= percent * (F.col("n") + F.col("n2") - most))
 
@@ -350,23 +367,27 @@ def search(docs: DataFrame, nodes: DataFrame, posts: DataFrame, threshold: int,
     for number in range(STAR_ROUNDS + 1):
         now = posts.withColumn("component", F.col("node")) if labels is None else posts.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         several = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("l")).where("x != y" if number == 0 else "x != y and l > 2")
-        now = stored(now.join(several.select("key", "l"), "key"))
+        several = stored(several.select("key", "l"))
+        now = stored(now.join(several, "key"))
+        discard(several)
         if now.isEmpty():
             discard(now)
             break
         if number == STAR_ROUNDS:
-            found = stored(links_in_lists(now, wanted, sets, percent, threshold))
+            found = links_in_lists(now, wanted, sets, percent, threshold)
         else:
             # The node that shares most leads, as a text that others copy does; in later rounds that of another third.
             mark = F.xxhash64("node", F.lit(number))
             order = F.struct(F.when(F.lit(number == 0) | (F.pmod(mark, F.lit(3)) == 0), -F.col("weight")).otherwise(0), mark)
-            leaders = now.groupBy("key").agg(F.min(F.struct(order.alias("order"), *[F.col(c).alias(f"{c}2") for c in ("node", "component", "n", "rest")])).alias("x")).select("key", "x.*")
+            leaders = now.groupBy("key").agg(F.min(F.struct(order.alias("order"), *[F.col(c).alias(f"{c}2") for c in ("node", "component", "n", "rest")])).alias("x"))
+            leaders = stored(leaders.select("key", "x.*"))
             pairs = now.join(leaders, "key").where((F.col("component") != F.col("component2")) & close)
             # Of several leaders a node is held against the foremost; only lists of two are settled at once.
             ends = [F.col("other").alias("a"), F.col("node").alias("b")]
             first = pairs.where("l > 2").groupBy("node").agg(F.min_by("node2", "order").alias("other")).select(*ends)
             both = first.unionByName(pairs.where("l = 2").withColumnRenamed("node2", "other").select(*ends)) if number == 0 else first
             found = stored(links(both.distinct()))
+            discard(leaders)
         if not found.isEmpty():
             old = labels
             labels = stored(components(found if old is None else found.unionByName(old.select(F.col("node").alias("a"), F.col("component").alias("b")))))
