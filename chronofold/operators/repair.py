@@ -16,29 +16,53 @@ def block_keys(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("block", F.explode(keys))
 
 
-def repair_numbers(read: DataFrame, dictionary: DataFrame, votes: DataFrame | None = None, limit: float = 2.0, gap: float = 0.6) -> DataFrame:
-    """number, repaired, how (exact, vote, fuzzy, none) for each different number read.
+def _without(rows: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """Rows whose key isn't among the found ones; null parts of a key are equal."""
+    keys = found.select(*[F.col(k).alias(f"__{k}") for k in by])
+    return rows.join(keys, [rows[k].eqNullSafe(keys[f"__{k}"]) for k in by], "left_anti")
 
-    read: number, code (may be null). dictionary: number. votes: code, number pairs of the dictionary; the number most
-    often paired with the codes read beside it wins if it leads. Fuzzy: the nearest by weighted edit distance within
-    ``limit`` that is ahead of the next by ``gap``.
+
+def _nearest(pairs: DataFrame, by: list[str], reach: float, gap: float) -> DataFrame:
+    """by, known, score: each key's nearest number, if it is ahead of the next by ``gap``. From ``reach`` on distances are bounds."""
+    scored = pairs.withColumn("score", text.weighted_distance(F.col("number"), F.col("known"), reach))
+    return runner_up_gap(top_k(scored, by, [F.col("score"), F.col("known")], 2), by, gap)
+
+
+def repair_numbers(read: DataFrame, dictionary: DataFrame, votes: DataFrame | None = None, limit: float = 2.0, gap: float = 0.6, page: list[str] | None = None) -> DataFrame:
+    """number, page columns, repaired, how (exact, page, vote, fuzzy, none) for each different number read on a page.
+
+    read: number, page columns, code (may be null), one row for each line. dictionary: number. votes: code, number pairs of
+    the dictionary. page: the columns that together name one page of one document, if numbers should be sought there first.
+    In order: exact; the nearest of the page's exact numbers, within ``limit`` or, with the same last eight characters,
+    within 4.5; the number most often paired with the codes read beside it, if it leads and is within 6; the nearest of the
+    dictionary within ``limit``. Near ones must be ahead of the next by ``gap``. Null numbers stay null.
     """
-    numbers, known = read.select("number").distinct(), dictionary.select(F.col("number").alias("known")).distinct()
-    exact = numbers.join(known, numbers["number"] == known["known"]).select("number", F.col("known").alias("repaired"), F.lit("exact").alias("how"))
-    rest = numbers.join(exact.select("number"), "number", "left_anti")
-    out = exact
+    by = ["number", *(page or [])]
+    rest = read.select(*by).distinct()
+    known = dictionary.select(F.col("number").alias("known")).distinct()
+    same = lambda found, how: found.select(*by, F.col("known").alias("repaired"), F.lit(how).alias("how"))
+    out = exact = same(rest.join(known, rest["number"] == known["known"]), "exact")
+    rest = _without(rest, exact, by)
+    if page:
+        context = exact.select(F.col("repaired").alias("known"), *[F.col(c).alias(f"__{c}") for c in page])
+        pairs = rest.join(context, [rest[c].eqNullSafe(context[f"__{c}"]) for c in page]).select(*by, "known")
+        alike = F.right("number", F.lit(8)) == F.right("known", F.lit(8))
+        found = same(_nearest(pairs, by, 4.5, gap).where((F.col("score") <= limit) | ((F.col("score") <= 4.5) & alike)), "page")
+        out, rest = out.unionByName(found), _without(rest, found, by)
     if votes is not None:
-        ballots = read.where("code is not null").select("number", "code").distinct().join(votes.select("code", F.col("number").alias("known")).distinct(), "code").groupBy("number", "known").agg(F.count("*").alias("n"))
-        led = top_k(ballots, ["number"], [F.col("n").desc(), F.col("known")], 2)
-        w = Window.partitionBy("number").orderBy("rank")
-        won = led.withColumn("second", F.lead("n").over(w)).where("rank = 1 and (second is null or n > second)").select("number", F.col("known").alias("repaired"), F.lit("vote").alias("how"))
-        won = won.join(rest, "number", "left_semi")
-        out, rest = out.unionByName(won), rest.join(won.select("number"), "number", "left_anti")
-    pairs = block_keys(rest, "number").join(block_keys(known, "known"), "block").select("number", "known").distinct().where(F.abs(F.length("number") - F.length("known")) <= limit)
-    scored = pairs.withColumn("score", text.weighted_distance(F.col("number"), F.col("known"), limit)).where(F.col("score") <= limit)
-    near = runner_up_gap(top_k(scored, ["number"], [F.col("score"), F.col("known")], 2), ["number"], gap).select("number", F.col("known").alias("repaired"), F.lit("fuzzy").alias("how"))
-    none = rest.join(near.select("number"), "number", "left_anti").select("number", F.col("number").alias("repaired"), F.lit("none").alias("how"))
-    return out.unionByName(near).unionByName(none)
+        lines = read.where("code is not null").groupBy(*by, "code").agg(F.count("*").alias("lines"))
+        ballots = lines.join(votes.select("code", F.col("number").alias("known")).distinct(), "code").groupBy(*by, "known").agg(F.sum("lines").alias("n"))
+        led = top_k(ballots, by, [F.col("n").desc(), F.col("known")], 2).withColumn("second", F.lead("n").over(Window.partitionBy(*by).orderBy("rank")))
+        won = led.where("rank = 1 and (second is null or n > second)").where(text.weighted_distance(F.col("number"), F.col("known"), 6.0) <= 6)
+        open_ = rest.select(*[F.col(k).alias(f"__{k}") for k in by])
+        found = same(won.join(open_, [won[k].eqNullSafe(open_[f"__{k}"]) for k in by], "left_semi"), "vote")
+        out, rest = out.unionByName(found), _without(rest, found, by)
+    reach = limit + 0.5
+    pairs = block_keys(rest.select("number").distinct(), "number").join(block_keys(known, "known"), "block").select("number", "known").distinct().where(F.abs(F.length("number") - F.length("known")) <= reach)
+    near = _nearest(pairs, ["number"], reach, gap).where(F.col("score") <= limit).select("number", "known")
+    found = same(rest.join(near, "number"), "fuzzy")
+    none = _without(rest, found, by).select(*by, F.col("number").alias("repaired"), F.lit("none").alias("how"))
+    return out.unionByName(found).unionByName(none)
 
 
 def repair_codes(read: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chronofold.functions import text
 from chronofold.operators import build, corrections, diff, events, projections, repair, reports, resolve
 from chronofold.plans.queries import CORRECTIONS, LISTING, MOVES, iso, listing, register, table
+from chronofold.sources import local_documents
 
 KINDS = "CASE o_orderpriority WHEN '1-URGENT' THEN 'notice' WHEN '2-HIGH' THEN 'correction' WHEN '3-MEDIUM' THEN 'replacement' WHEN '5-LOW' THEN 'amendment' END"
 SIDES = "CASE o_orderstatus WHEN 'O' THEN 'added' WHEN 'F' THEN 'wrong' END"
@@ -314,3 +315,54 @@ def q81_structurally_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of the right form that stand in three documents or more."""
     number = F.expr("CASE WHEN l_partkey % 4 = 0 THEN 'ABC' ELSE lpad(CAST(l_suppkey % 1000 AS STRING), 3, '0') END || 'AABZX' || lpad(CAST(l_partkey % 50 AS STRING), 8, '0')")
     return repair.structurally_valid(table(spark, sf_dir, "lineitem").select(number.alias("number"), F.col("l_orderkey").alias("doc_id")))
+
+
+@register()
+def q82_page_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repairs with the exact numbers of the same page, the codes beside them and the dictionary; weighted edit distance has no
+    SQL form, and a sequential model is in the tests. Each order is a page with the numbers of its parts."""
+    number = F.expr("'2' || lpad(CAST(p_partkey * 37 % 10000 AS STRING), 4, '0') || 'BZX' || lpad(CAST(p_partkey * 101 % 100000 AS STRING), 5, '0') || '000'")
+    known = table(spark, sf_dir, "part").select("p_partkey", number.alias("known"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").cast("string").alias("code"))
+    misread = F.when(F.col("l_linenumber") > 1, F.concat(F.substring("known", 1, 8), F.translate(F.substring("known", 9, 2), "058", "OSB"), F.substring("known", 11, 6))).otherwise(F.col("known"))
+    read = lines.join(known, "p_partkey").select(misread.alias("number"), "l_orderkey", F.when(F.col("l_linenumber") > 2, F.col("code")).alias("code"))
+    votes = lines.join(known, "p_partkey").where("l_linenumber = 3").select("code", F.col("known").alias("number"))
+    return repair.repair_numbers(read, known.select(F.col("known").alias("number")), votes, page=["l_orderkey"])
+
+
+@register("""WITH x AS (SELECT o_orderkey, CAST(o_custkey % 100 AS VARCHAR) AS no, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderstatus = 'F' THEN 'correction' WHEN o_orderstatus = 'P' THEN 'amendment' ELSE 'notice' END AS kind, o_orderpriority AS p FROM orders)
+SELECT o_orderkey, CASE WHEN p <> '5-LOW' THEN 'local_' || strftime(d, '%Y%m%d') || '_' || kind || '_' || no END AS doc_id, CASE WHEN p <> '5-LOW' THEN kind END AS kind,
+CASE WHEN p <> '5-LOW' THEN CAST(d AS VARCHAR) END AS notice_date, CASE WHEN p <> '5-LOW' AND p <> '1-URGENT' THEN CAST(d + 30 AS VARCHAR) END AS effective_date FROM x""")
+def q83_covers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the covers of documents say that no index lists yet."""
+    era = "'平成' || CAST(year({0}) - 1988 AS STRING) || '年 ' || CAST(month({0}) AS STRING) || '月' || CAST(day({0}) AS STRING) || '日'"
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.to_date("o_orderdate").alias("d")).withColumn("since", F.expr("date_add(d, 30)"))
+    base = "機器の適用について"
+    cover = F.concat(
+        F.lit("保 医 発0930第"), (F.col("o_custkey") % 100).cast("string"), F.lit("号\n"), F.expr(era.format("d")), F.lit("\n"), F.when(F.col("o_orderpriority") != "5-LOW", F.lit(base)).otherwise(F.lit("機器")),
+        F.when(F.col("o_orderstatus") == "F", "の一部訂正").when(F.col("o_orderstatus") == "P", "の一部改正").otherwise(""), F.when(F.col("o_orderpriority") != "1-URGENT", F.concat(F.lit("\n標記は"), F.expr(era.format("since")), F.lit("から適用"))).otherwise(""),
+    )
+    c = F.col("cover")
+    return o.withColumn("cover", text.cover(cover, base)).select("o_orderkey", c["doc_id"].alias("doc_id"), c["kind"].alias("kind"), c["notice_date"].cast("string").alias("notice_date"), c["effective_date"].cast("string").alias("effective_date"))
+
+
+@register("""WITH x AS (SELECT 'local_' || o_orderkey AS doc_id, o_orderstatus <> 'P' AS listed, o_orderpriority < '3' AS kept, o_orderpriority > '2' AND o_orderpriority < '5' AS shown FROM orders)
+SELECT doc_id, CASE WHEN listed AND kept AND NOT shown THEN 'publish' WHEN listed AND shown AND NOT kept THEN 'restore' WHEN shown AND NOT listed THEN 'remove' END AS action FROM x
+WHERE (listed AND kept <> shown) OR (shown AND NOT listed)""")
+def q84_copies_wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What keeps two folders of local documents and the manifest alike."""
+    o = table(spark, sf_dir, "orders").withColumn("doc_id", F.concat(F.lit("local_"), F.col("o_orderkey").cast("string")))
+    return local_documents.copies_wanted(o.where("o_orderstatus <> 'P'"), o.where("o_orderpriority < '3'"), o.where("o_orderpriority > '2' and o_orderpriority < '5'"))
+
+
+@register("""WITH m AS (SELECT CASE WHEN o_orderstatus = 'O' THEN 'local_' ELSE '' END || o_orderkey AS doc_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'correction' ELSE 'notice' END AS kind, CAST(o_orderdate AS VARCHAR)[1:10] AS notice_date, CAST(o_custkey % 3 AS VARCHAR) AS effective_date FROM orders),
+k AS (SELECT *, CASE WHEN kind = 'notice' THEN effective_date END AS e FROM m)
+SELECT * EXCLUDE (e) FROM k WHERE doc_id NOT LIKE 'local_%'
+UNION ALL SELECT * EXCLUDE (e) FROM k WHERE doc_id LIKE 'local_%' AND NOT EXISTS (SELECT 1 FROM k AS b WHERE b.doc_id NOT LIKE 'local_%' AND b.kind = k.kind AND b.notice_date = k.notice_date AND b.e IS NOT DISTINCT FROM k.e)""")
+def q85_registered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest with the local documents that no listed one stands for."""
+    kind = F.when(F.col("o_orderpriority") == "1-URGENT", "correction").otherwise("notice")
+    o = table(spark, sf_dir, "orders").select(
+        F.concat(F.when(F.col("o_orderstatus") == "O", "local_").otherwise(""), F.col("o_orderkey").cast("string")).alias("doc_id"), kind.alias("kind"), F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("notice_date"), (F.col("o_custkey") % 3).cast("string").alias("effective_date")
+    )
+    return local_documents.register(o.where("doc_id not like 'local\\_%'"), o.where("doc_id like 'local\\_%'"))

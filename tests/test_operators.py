@@ -89,6 +89,75 @@ def test_repair(spark):
     assert {r["code"]: (r["repaired"], r["how"]) for r in repair.repair_codes(codes, known).collect()} == {"4547531706101": ("4547531706101", "exact"), "4547531706181": ("4547531706101", "appr1")}
 
 
+def test_repair_by_page_against_a_sequential_model(spark):
+    """Numbers of the same page, votes by lines and runners-up just beyond the limit, one number after the other."""
+    groups = ("B83", "Z27", "O0DQ", "I1LT", "S5", "G6", "A4")
+
+    def distance(a, b):
+        row = [float(j) for j in range(len(b) + 1)]
+        for i, x in enumerate(a, 1):
+            old, row = row, [float(i)]
+            for j, y in enumerate(b, 1):
+                cost = 0.0 if x == y else 0.4 if any(x in g and y in g for g in groups) else 1.0
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + cost))
+        return row[-1]
+
+    def nearest(number, among):
+        near = sorted((distance(number, k), k) for k in among)
+        return near[0] if near and (len(near) == 1 or near[1][0] - near[0][0] >= 0.6 - 1e-9) else None
+
+    draw = random.Random(11)
+    # Five or more own characters keep different numbers far apart, so that bounds of distances can't matter.
+    known = ["".join(draw.choices("0123456789", k=5)) + "BZX" + "".join(draw.choices("0123456789", k=5)) + "000" for _ in range(40)]
+    votes = [(f"c{i % 25}", k) for i, k in enumerate(known)]
+    lines = []
+    for page in ["p1", "p2", "p3", None]:
+        for k in draw.sample(known, 8):
+            for _ in range(draw.randint(1, 2)):
+                read = list(k)
+                for _ in range(draw.choice([0, 0, 1, 2, 3, 5])):
+                    read[draw.randrange(8)] = draw.choice("08B2ZA4X")
+                lines += [("".join(read), page, draw.choice([None, *[c for c, n in votes if n == k]]))] * draw.randint(1, 3)
+    lines.append((known[0][:-1], None, None))
+    expected = {}
+    for number, page in {x[:2] for x in lines}:
+        ballots = {}
+        for n, p, c in lines:
+            if (n, p) == (number, page):
+                for code, k in votes:
+                    if code == c:
+                        ballots[k] = ballots.get(k, 0) + 1
+        top = sorted(ballots.items(), key=lambda x: (-x[1], x[0]))
+        lead = top[0][0] if top and (len(top) == 1 or top[0][1] > top[1][1]) else None
+        context = nearest(number, {n for n, p, _ in lines if p == page and n in known})
+        parts = lambda x: {x[:6] + "h", x[-6:] + "t", x[5:11] + "m", x[2:8] + "a", x[8:14] + "b"}
+        near = nearest(number, [k for k in known if parts(k) & parts(number)])
+        if number in known:
+            expected[number, page] = (number, "exact")
+        elif context and (context[0] <= 2 or (context[0] <= 4.5 and number[-8:] == context[1][-8:])):
+            expected[number, page] = (context[1], "page")
+        elif lead and distance(number, lead) <= 6:
+            expected[number, page] = (lead, "vote")
+        elif near and near[0] <= 2:
+            expected[number, page] = (near[1], "fuzzy")
+        else:
+            expected[number, page] = (number, "none")
+    frame = spark.createDataFrame(lines, "number string, page string, code string")
+    dictionary = spark.createDataFrame(votes, "code string, number string")
+    found = repair.repair_numbers(frame, dictionary, dictionary, page=["page"]).collect()
+    assert {(r["number"], r["page"]): (r["repaired"], r["how"]) for r in found} == expected and len(found) == len(expected)
+    assert {how for _, how in expected.values()} == {"exact", "page", "vote", "fuzzy", "none"}
+
+
+def test_runner_up_just_beyond_the_limit_counts(spark):
+    """Nearest at 2.0, next at 2.4: too close to tell."""
+    known = spark.createDataFrame([("AAAAAACCDDDDDDDD",), ("AAAAAAC8DDDDDDD0",)], "number string")
+    read = spark.createDataFrame([("AAAAAAXXDDDDDDDD", None), (None, None)], "number string, code string")
+    assert rows(repair.repair_numbers(read, known.limit(1)), "repaired", "how") == [("AAAAAACCDDDDDDDD", "fuzzy"), (None, "none")]
+    assert rows(repair.repair_numbers(read, known), "repaired", "how") == [("AAAAAAXXDDDDDDDD", "none"), (None, "none")]
+    assert repair.repair_numbers(read.limit(0), known).count() == 0
+
+
 def test_successors(spark):
     h = spark.createDataFrame([("710010739", date(2013, 10, 1), None, "2", "B", date(2015, 9, 30)), ("710010737", date(2014, 4, 1), None, "2", "B", None), ("710010736", date(2014, 4, 1), None, "2", "C", None)], "code string, valid_from date, valid_to date, schedule string, name string, retired date")
     assert rows(successors.successors(h), "code", "successor") == [("710010739", "710010737")]

@@ -7,7 +7,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from chronofold.sources import readers, writers
+from chronofold.functions import text
+from chronofold.sources import local_documents, readers, writers
 from chronofold.streaming import incremental
 
 
@@ -78,3 +79,36 @@ def test_streams_count_and_deduplicate(spark, tmp_path):
     counted = run(incremental.windowed_counts(stream, "ts", ["key"]), "counted", "complete")
     assert rows(counted.withColumn("start", F.hour("start")), "start", "key", "n", "total") == [(0, "j", 1, 4.0), (0, "k", 2, 3.0), (1, "k", 1, 8.0)]
     assert rows(run(incremental.deduplicated(stream, "ts", ["key"]), "single", "append"), "key") == [("j",), ("k",)]
+
+
+BASE = "医療機器の保険適用について"
+
+
+def test_cover(spark):
+    covers = [
+        "保 医 発0930第４号\n令和８年９月30日\n地 方 厚 生 ( 支 ) 局 医 療 課 長 殿\n" + BASE + "\n標記について、別紙のとおり令和８年 10 月１日から新たに保険適用とするので通知する。",
+        "令和８年９月30日 「" + BASE + "」の一部訂正について", "令和８年９月30日", BASE, "", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(covers)), "n int, cover string").withColumn("d", text.cover(F.col("cover"), BASE))
+    got = [r["d"] for r in df.orderBy("n").collect()]
+    assert [(d["doc_id"], d["kind"], str(d["notice_date"]), str(d["effective_date"])) for d in got[:2]] == [("local_20260930_notice_4", "notice", "2026-09-30", "2026-10-01"), ("local_20260930_correction_0", "correction", "2026-09-30", "None")]
+    assert got[0]["title"].startswith(BASE + "（令和8年10月1日から新たに適用）（令和8年9月30日）") and got[2:] == [None] * 4
+
+
+def test_local_documents(spark, tmp_path):
+    schema = "doc_id string, title string, kind string, notice_date string, effective_date string"
+    manifest = spark.createDataFrame([("000503000", "t", "notice", "2026-09-30", "2026-10-01"), ("000502873", "t", "correction", "2026-08-31", None), ("local_20261030_notice_2", "old", "notice", "2026-10-30", "2026-11-01")], schema)
+    new = spark.createDataFrame([("local_20260930_notice_4", "t", "notice", "2026-09-30", "2026-10-01"), ("local_20260831_correction_1", "t", "correction", "2026-08-31", "2026-09-01"), ("local_20261030_notice_2", "new", "notice", "2026-10-30", "2026-11-01"), ("local_20260831_notice_3", "t", "notice", "2026-08-31", None)], schema)
+    got = local_documents.register(manifest, new)
+    assert rows(got, "doc_id", "title") == [("000502873", "t"), ("000503000", "t"), ("local_20260831_notice_3", "t"), ("local_20261030_notice_2", "new")]
+    kept, shown = tmp_path / "kept", tmp_path / "docs" / "shown"
+    kept.mkdir()
+    (kept / "local_20261030_notice_2.pdf").write_bytes(b"first")
+    (kept / "000502873.pdf").write_bytes(b"listed")
+    assert local_documents.sync(got, str(kept), str(shown)) == [("local_20261030_notice_2", "publish")]
+    assert (shown / "local_20261030_notice_2.pdf").read_bytes() == b"first" and not (shown / "000502873.pdf").exists()
+    (kept / "local_20261030_notice_2.pdf").unlink()
+    (shown / "local_20260930_notice_4.pdf").write_bytes(b"replaced")
+    assert local_documents.sync(got, str(kept), str(shown)) == [("local_20260930_notice_4", "remove"), ("local_20261030_notice_2", "restore")]
+    assert (kept / "local_20261030_notice_2.pdf").read_bytes() == b"first" and not (shown / "local_20260930_notice_4.pdf").exists()
+    assert local_documents.sync(got, str(kept), str(shown)) == []
