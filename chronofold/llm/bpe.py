@@ -286,7 +286,8 @@ def tokenizer(path: str) -> ByteBPE:
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``with_ids`` also the ids and the decoded text, one row for each row.
 
-    Null texts count as empty (no tokens). Null ids stay; repeated rows stay; other columns are ignored.
+    Null texts count as empty (no tokens). Null ids and repeated rows stay, very long texts are encoded whole, and other
+    columns, whatever their names, aren't read.
     """
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * with_ids
 

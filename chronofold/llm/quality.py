@@ -174,7 +174,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score, predicted for each row. Null texts are scored as empty ones; null and repeated ids stay."""
+    """doc_id, score, predicted for each row. Null texts are scored as empty ones; null and repeated ids stay.
+
+    Very long texts are taken whole; equal texts have equal scores, and a score at the threshold counts as 1. Other columns,
+    whatever their names, aren't read.
+    """
 
     def make():  # noqa: ANN202
         def step(columns: list[list]) -> list[list]:

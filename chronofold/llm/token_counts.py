@@ -88,7 +88,10 @@ def counter(path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Counter:
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit for each row. Null texts count as empty; null and repeated ids stay."""
+    """doc_id, n_bytes, n_tokens, over_limit for each row. Null texts count as empty; null and repeated ids stay.
+
+    Very long texts are counted whole, in spliced chunks. Other columns, whatever their names, aren't read.
+    """
 
     def make():  # noqa: ANN202
         count = counter(path)
