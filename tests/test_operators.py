@@ -1,7 +1,7 @@
 """Operators on small inputs: golden cases, sequential models and edge cases."""
 
 import random
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -163,6 +163,25 @@ def test_successors(spark):
     assert rows(successors.successors(h), "code", "successor") == [("710010739", "710010737")]
 
 
+def test_successors_make_each_pair_once(spark):
+    """Versions that overlap, meet, leave gaps or hold nothing, against pairs of versions; nothing is dealt out or merged after the pairs."""
+    draw, days = random.Random(4), [date(2020, 1, x) for x in range(1, 28)]
+    data = [(f"c{draw.randint(1, 14)}", draw.choice(days), draw.choice([None, *days]), draw.choice("12"), draw.choice("BC"), draw.choice([None, None, *days])) for _ in range(90)]
+    data = list({r[:2]: r for r in data}.values())  # one version a day, so that the last one is certain
+    expected = set()
+    for code in {r[0] for r in data}:
+        _, _, _, schedule, name, retired = max((r for r in data if r[0] == code), key=lambda r: r[1])
+        for x in data if retired else []:
+            day = retired + timedelta(1)
+            named = any(r[0] == x[0] and r[3:5] == (schedule, name) for r in data)
+            if x[0] != code and named and x[1] <= day and (x[2] is None or day < x[2]) and (x[5] is None or x[5] >= day):
+                expected.add((code, x[0]))
+    got = successors.successors(spark.createDataFrame(data, "code string, valid_from date, valid_to date, schedule string, name string, retired date"))
+    assert rows(got, "code", "successor") == sorted(expected, key=str) and len(expected) > 5
+    above = got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Aggregate" not in above and "Repartition" not in above
+
+
 def test_candidates_and_decision(spark):
     listing = spark.createDataFrame([("医科", "010 カテーテル(1)標準型")], "setting string, category string")
     master = spark.createDataFrame([("2", "010", "c1", "カテーテル・標準型"), ("2", "010", "c2", "カテーテル・特殊型"), ("5", "010", "c3", "カテーテル・標準型"), ("2", "011", "c4", "カテーテル・標準型")], "schedule string, category_no string, code string, name string")
