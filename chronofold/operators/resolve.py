@@ -77,6 +77,20 @@ def price_matches(listing: DataFrame, prices: DataFrame, on: list[str]) -> DataF
     return keyed.join(prices.where("price != 0").select(*on, "code", F.bround("price").alias("rounded")), [*on, "rounded"])
 
 
+def one_apart(a: DataFrame, b: DataFrame, on: list[str], x: str, y: str) -> DataFrame:
+    """on, x, y: the different texts x of a and y of b in a block that have equal lengths and differ in exactly one character.
+
+    Texts meet under what is left of them without one character, so each pair is made once, and no other pair is.
+    """
+
+    def left(df: DataFrame, name: str) -> DataFrame:
+        c, n = F.col(name), F.length(name)
+        rest = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.substring(c, F.lit(1), i - 1).alias("__head"), F.substring(c, i + 1, n).alias("__tail")))
+        return df.select(*on, name).distinct().where(n > 0).select(*on, name, F.posexplode(rest).alias("__at", "__r")).select(*on, name, "__at", "__r.*")
+
+    return left(a, x).join(left(b, y), [*on, "__at", "__head", "__tail"]).where(F.col(x) != F.col(y)).select(*on, x, y)
+
+
 def one_digit_off(listing: DataFrame, prices: DataFrame, on: list[str], by: list[str]) -> DataFrame:
     """by, code where exactly one code of the block has a price that differs in one digit."""
     a = listing.select(*on, *by, text.price_digits(F.col("price")).alias("p"), F.length(text.price_digits(F.col("price"))).alias("n"))
@@ -85,6 +99,24 @@ def one_digit_off(listing: DataFrame, prices: DataFrame, on: list[str], by: list
     return hits.groupBy(*by).agg(F.count_distinct("code").alias("n"), F.min("code").alias("code")).where("n = 1").drop("n")
 
 
+def count_one_apart(rows: DataFrame, on: list[str], key: str, value: str) -> DataFrame:
+    """key, n: how many different keys of the block have a value that differs from the key's in one character; keys without such
+    a value are left out.
+
+    A key that stands at one value counts there, and sums of counts are enough; pairs are made only with keys at several.
+    """
+    places = rows.select(*on, key, value).distinct()
+    places = places.withColumn("__single", (F.count("*").over(Window.partitionBy(key)) == 1) & F.col(key).isNotNull())
+    single, several = places.where("__single"), places.where("not __single")
+    other = lambda df: df.select(*on, F.col(value).alias("__other"), F.col(key).alias("__code"))
+    apart = one_apart(places, other(places), on, value, "__other")
+    near = apart.join(other(single).groupBy(*on, "__other").agg(F.count("*").alias("n")), [*on, "__other"]).groupBy(*on, value).agg(F.sum("n").alias("n"))
+    with_several = single.join(apart.join(other(several), [*on, "__other"]), [*on, value])
+    of_several = several.join(apart, [*on, value]).join(other(places), [*on, "__other"])
+    pairs = with_several.select(key, "__code").unionByName(of_several.select(key, "__code")).groupBy(key).agg(F.count_distinct("__code").alias("n"))
+    return single.join(near, [*on, value]).select(key, "n").unionByName(pairs).groupBy(key).agg(F.sum("n").alias("n"))
+
+
 def designated_first(rows: DataFrame, own_codes: DataFrame, foreign: DataFrame, alternatives: DataFrame) -> DataFrame:
     """rows: entity, eff, row_id, code. The entity's own code in force at eff goes first; a code that another entity owns is
     replaced by the best alternative (row_id, alternative, score) that nobody owns, or null.

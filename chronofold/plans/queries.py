@@ -299,9 +299,8 @@ def q26_semi_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 x AS (SELECT a.p_partkey, b.p_partkey AS code FROM p a JOIN p b ON a.p_brand = b.p_brand AND length(a.s) = length(b.s) AND hamming(a.s, b.s) = 1)
 SELECT p_partkey, count(DISTINCT code) AS n FROM x GROUP BY 1""")
 def q27_hamming_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_brand", "p_partkey", text.price_digits(F.floor("p_retailprice").cast("double")).alias("s")).withColumn("n", F.length("s"))
-    pairs = p.join(p.select("p_brand", "n", F.col("p_partkey").alias("code"), F.col("s").alias("s2")), ["p_brand", "n"])
-    return pairs.where(text.hamming_one(F.col("s"), F.col("s2"))).groupBy("p_partkey").agg(F.count_distinct("code").alias("n"))
+    p = table(spark, sf_dir, "part").select("p_brand", "p_partkey", text.price_digits(F.floor("p_retailprice").cast("double")).alias("s"))
+    return resolve.count_one_apart(p, ["p_brand"], "p_partkey", "s")
 
 
 @register("""WITH c AS (SELECT p_partkey, lpad(CAST(p_partkey * 7919 AS VARCHAR), CASE p_partkey % 4 WHEN 0 THEN 8 WHEN 1 THEN 12 WHEN 2 THEN 13 ELSE 14 END, '0') AS code FROM part),

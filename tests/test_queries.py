@@ -67,3 +67,23 @@ def test_q28_numbers_longer_than_their_code(spark, tmp_path):
     """From key 12,628 on the number has nine digits, of which a code of eight keeps the first ones."""
     got, expected = on_tables(spark, tmp_path, "q28_gtin_check", part="SELECT range AS p_partkey FROM range(12500, 14000)")
     assert got == expected and len(got) == 1500
+
+
+PARTS = "SELECT {key} AS p_partkey, CASE WHEN range % 11 = 0 THEN NULL ELSE 'B' || range % 2 END AS p_brand, CASE WHEN range % 13 = 0 THEN NULL ELSE 900.5 + range % 300 END AS p_retailprice FROM range({n})"
+
+
+def fails_on_all_pairs(monkeypatch):
+    from chronofold.functions import text
+
+    def refuse(a, b):
+        raise AssertionError("compares all pairs of a block")
+
+    monkeypatch.setattr(text, "hamming_one", refuse)
+
+
+@pytest.mark.parametrize("key", ["range", "nullif(range % 40, 3)"])
+def test_q27_without_all_pairs(spark, tmp_path, monkeypatch, key):
+    """Keys at one place and at several, missing ones too."""
+    fails_on_all_pairs(monkeypatch)
+    got, expected = on_tables(spark, tmp_path, "q27_hamming_one", part=PARTS.format(key=key, n=700))
+    assert got == expected and len(got) >= 40
