@@ -93,10 +93,11 @@ def one_apart(a: DataFrame, b: DataFrame, on: list[str], x: str, y: str) -> Data
 
 def one_digit_off(listing: DataFrame, prices: DataFrame, on: list[str], by: list[str]) -> DataFrame:
     """by, code where exactly one code of the block has a price that differs in one digit."""
-    a = listing.select(*on, *by, text.price_digits(F.col("price")).alias("p"), F.length(text.price_digits(F.col("price"))).alias("n"))
-    b = prices.select(*on, "code", text.price_digits(F.col("price")).alias("q"), F.length(text.price_digits(F.col("price"))).alias("n"))
-    hits = a.join(b, [*on, "n"]).where(text.hamming_one(F.col("p"), F.col("q")))
-    return hits.groupBy(*by).agg(F.count_distinct("code").alias("n"), F.min("code").alias("code")).where("n = 1").drop("n")
+    a = listing.select(*on, *by, text.price_digits(F.col("price")).alias("__p"))
+    codes = prices.groupBy(*on, text.price_digits(F.col("price")).alias("__q")).agg(F.min("code").alias("__lo"), F.max("code").alias("__hi"))
+    ends = [F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")]  # one code alone is the least and the greatest
+    near = one_apart(a, codes, on, "__p", "__q").join(codes, [*on, "__q"]).groupBy(*on, "__p").agg(*ends)
+    return a.join(near, [*on, "__p"]).groupBy(*by).agg(*ends).where("__lo = __hi").select(*by, F.col("__lo").alias("code"))
 
 
 def count_one_apart(rows: DataFrame, on: list[str], key: str, value: str) -> DataFrame:

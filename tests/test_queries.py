@@ -87,3 +87,10 @@ def test_q27_without_all_pairs(spark, tmp_path, monkeypatch, key):
     fails_on_all_pairs(monkeypatch)
     got, expected = on_tables(spark, tmp_path, "q27_hamming_one", part=PARTS.format(key=key, n=700))
     assert got == expected and len(got) >= 40
+
+
+@pytest.mark.parametrize("key", ["range", "range % 900"])
+def test_q59_without_all_pairs(spark, tmp_path, monkeypatch, key):
+    fails_on_all_pairs(monkeypatch)
+    got, expected = on_tables(spark, tmp_path, "q59_one_digit_prices", part=PARTS.format(key=key, n=1500).replace("range % 2", "range % 40"))
+    assert got == expected and len(got) > 20
