@@ -90,19 +90,20 @@ def repair_codes(read: DataFrame, dictionary: DataFrame) -> DataFrame:
     return every.groupBy("number", "code").agg(F.min_by(F.struct("repaired", "how"), "stage").alias("x")).select("number", "code", "x.*")
 
 
-def prefix_majority(rows: DataFrame, by: list[str], code: str = "code", length: int = 7) -> DataFrame:
-    """by, prefix, n: the most frequent code prefix of each group, the least of equals."""
-    counts = rows.groupBy(*by, F.substring(code, 1, length).alias("prefix")).agg(F.count("*").alias("n"))
+def prefix_majority(rows: DataFrame, by: list[str], code: str = "code", length: int = 7, valid: str | None = None) -> DataFrame:
+    """by, prefix, n: the most frequent code prefix of each group, the least of equals; of rows where ``valid`` is true, if given."""
+    n = F.count("*") if valid is None else F.count_if(valid)
+    counts = rows.groupBy(*by, F.substring(code, 1, length).alias("prefix")).agg(n.alias("n")).where("n > 0")
     return top_k(counts, by, [F.col("n").desc(), F.col("prefix")], 1).drop("rank")
 
 
 def repair_by_prefix(rows: DataFrame, by: list[str], most: int = 2) -> DataFrame:
     """13-digit codes with a wrong check digit get their group's majority prefix, if at most ``most`` digits differ and the result is right."""
-    joined = rows.join(prefix_majority(rows.where(text.gtin_ok(F.col("code"))), by).drop("n"), by, "left")
-    fixed = F.concat("prefix", F.substring("code", 8, 6))
-    differ = F.aggregate(F.zip_with(F.split("code", ""), F.split(fixed, ""), lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda s, d: s + d)
-    use = (F.length("code") == 13) & ~text.gtin_ok(F.col("code")) & F.col("prefix").isNotNull() & (differ <= most) & text.gtin_ok(fixed)
-    return joined.withColumn("repaired", F.when(use, fixed).otherwise(F.col("code"))).drop("prefix")
+    checked = rows.withColumn("__ok", text.gtin_ok(F.col("code")))
+    joined = checked.join(prefix_majority(checked, by, valid="__ok").drop("n"), by, "left").withColumn("__fixed", F.concat("prefix", F.substring("code", 8, 6)))
+    differ = sum((F.when(F.substring("code", i, 1) == F.substring("prefix", i, 1), 0).otherwise(1) for i in range(1, 8)), F.lit(0))
+    use = (F.length("code") == 13) & ~F.col("__ok") & F.col("prefix").isNotNull() & (differ <= most) & text.gtin_ok(F.col("__fixed"))
+    return joined.withColumn("repaired", F.when(use, F.col("__fixed")).otherwise(F.col("code"))).drop("prefix", "__ok", "__fixed")
 
 
 def structurally_valid(rows: DataFrame, least: int = 3) -> DataFrame:

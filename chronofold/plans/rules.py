@@ -302,10 +302,14 @@ SELECT l_orderkey, l_linenumber, code, CASE WHEN NOT {gtin13_sql("code")} AND fi
 def q80_prefix_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes misread in one place or three of their prefix, or behind it, against the majority prefix of their group."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.expr("lpad(CAST(l_suppkey * 37 + 4000000 AS STRING), 7, '0') || lpad(CAST(l_partkey % 100000 AS STRING), 5, '0')").alias("body"))
-    check = "(10 - aggregate(transform(sequence(1, 12), i -> CAST(substring(body, i, 1) AS INT) * IF(i % 2 = 0, 3, 1)), 0, (a, x) -> a + x) % 10) % 10"
-    misread = "(l_linenumber = 3 AND i = 3) OR (l_linenumber = 4 AND i IN (3, 5, 7)) OR (l_linenumber = 5 AND i = 10)"
+    check = "(10 - (" + " + ".join(f"CAST(substring(body, {i}, 1) AS INT) * {1 if i % 2 else 3}" for i in range(1, 13)) + ") % 10) % 10"
     good = lines.withColumn("good", F.concat("body", F.expr(check).cast("string")))
-    read = good.withColumn("code", F.expr(f"array_join(transform(sequence(1, 13), i -> IF({misread}, CAST((CAST(substring(good, i, 1) AS INT) + 1) % 10 AS STRING), substring(good, i, 1))), '')"))
+    misread = {3: (3,), 4: (3, 5, 7), 5: (10,)}
+    code = F.col("good")
+    for line, places in misread.items():
+        digits = [((F.substring("good", i, 1).cast("int") + 1) % 10).cast("string") if i in places else F.substring("good", i, 1) for i in range(1, 14)]
+        code = F.when(F.col("l_linenumber") == line, F.concat(*digits)).otherwise(code)
+    read = good.withColumn("code", code)
     return repair.repair_by_prefix(read, ["l_suppkey"]).select("l_orderkey", "l_linenumber", "code", "repaired")
 
 

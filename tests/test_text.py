@@ -1,5 +1,7 @@
 """Golden cases of the text functions."""
 
+import random
+import re
 from datetime import date
 
 import pytest
@@ -135,3 +137,13 @@ def test_hamming_and_distance(spark):
     rows = df.select(text.hamming_one(F.col("a"), F.col("b")).alias("h"), text.weighted_distance(F.col("a"), F.col("b")).alias("d")).collect()
     assert [r["h"] for r in rows] == [True, False, True, False]
     assert [r["d"] for r in rows] == [1.0, 1.0, 0.4, 2.0]
+
+
+def test_check_digits_by_arithmetic(spark):
+    """Against the plain rule; codes aren't split into arrays of characters."""
+    draw = random.Random(8)
+    codes = ["".join(draw.choices("0123456789", k=n)) for n in (7, 8, 9, 12, 13, 14, 15) for _ in range(150)] + ["00000000", "99999999999999", "1234567a", "-1234567", " 1234567", "４５８０４５８０", "12345670\n", "", None]
+    df = spark.createDataFrame([(x,) for x in codes], "code string").withColumn("ok", text.gtin_ok(F.col("code")))
+    assert {r["code"]: r["ok"] for r in df.collect()} == {x: x is not None and bool(re.fullmatch("[0-9]*", x)) and text._gtin_ok(x) for x in codes}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "aggregate(" not in plan
