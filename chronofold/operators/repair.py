@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.functions import text
 from chronofold.operators.resolve import runner_up_gap, top_k
 
 
-def block_keys(df: DataFrame, column: str) -> DataFrame:
-    """One row for each of five overlapping parts of a number; close numbers share at least one."""
+def _parts(column: str) -> Column:
     c = F.col(column)
-    keys = F.array(F.concat(F.lit("h"), F.substring(c, 1, 6)), F.concat(F.lit("t"), F.right(c, F.lit(6))), F.concat(F.lit("m"), F.substring(c, 6, 6)), F.concat(F.lit("a"), F.substring(c, 3, 6)), F.concat(F.lit("b"), F.substring(c, 9, 6)))
-    return df.withColumn("block", F.explode(keys))
+    return F.array(F.substring(c, 1, 6), F.right(c, F.lit(6)), F.substring(c, 6, 6), F.substring(c, 3, 6), F.substring(c, 9, 6))
+
+
+def _blocked(df: DataFrame, column: str) -> DataFrame:
+    """One row for each of five overlapping parts of a number, with all of them; close numbers share at least one."""
+    return df.withColumn(f"__{column}", _parts(column)).select("*", F.posexplode(f"__{column}").alias("__at", "__block"))
+
 
 
 def _without(rows: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
@@ -23,8 +27,8 @@ def _without(rows: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _nearest(pairs: DataFrame, by: list[str], reach: float, gap: float) -> DataFrame:
-    """by, known, score: each key's nearest number, if it is ahead of the next by ``gap``. From ``reach`` on distances are bounds."""
-    scored = pairs.withColumn("score", text.weighted_distance(F.col("number"), F.col("known"), reach))
+    """by, known, score: each key's nearest number, if it is ahead of the next by ``gap``. Distances of ``reach`` + 1 are bounds, which never are too near."""
+    scored = pairs.withColumn("score", text.weighted_distance(F.col("number"), F.col("known"), reach)).where(F.col("score") < reach + 1)
     return runner_up_gap(top_k(scored, by, [F.col("score"), F.col("known")], 2), by, gap)
 
 
@@ -50,15 +54,22 @@ def repair_numbers(read: DataFrame, dictionary: DataFrame, votes: DataFrame | No
         found = same(_nearest(pairs, by, 4.5, gap).where((F.col("score") <= limit) | ((F.col("score") <= 4.5) & alike)), "page")
         out, rest = out.unionByName(found), _without(rest, found, by)
     if votes is not None:
+        # Keys with the same codes beside them have the same ballots, which are counted once for all of them.
         lines = read.where("code is not null").groupBy(*by, "code").agg(F.count("*").alias("lines"))
-        ballots = lines.join(votes.select("code", F.col("number").alias("known")).distinct(), "code").groupBy(*by, "known").agg(F.sum("lines").alias("n"))
-        led = top_k(ballots, by, [F.col("n").desc(), F.col("known")], 2).withColumn("second", F.lead("n").over(Window.partitionBy(*by).orderBy("rank")))
-        won = led.where("rank = 1 and (second is null or n > second)").where(text.weighted_distance(F.col("number"), F.col("known"), 6.0) <= 6)
+        codes = lines.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("code", "lines"))).alias("__codes"))
+        codes = codes.withColumn("__codes", F.when(F.size("__codes") > 1, F.col("__codes")).otherwise(F.array(F.struct(F.col("__codes")[0]["code"].alias("code"), F.lit(1).cast("bigint").alias("lines")))))
+        beside = codes.select("__codes").distinct().withColumn("__c", F.explode("__codes")).select("__codes", "__c.*")
+        ballots = beside.join(votes.select("code", F.col("number").alias("known")).distinct(), "code").groupBy("__codes", "known").agg(F.sum("lines").alias("n"))
+        led = top_k(ballots, ["__codes"], [F.col("n").desc(), F.col("known")], 2).withColumn("second", F.lead("n").over(Window.partitionBy("__codes").orderBy("rank")))
+        ahead = led.where("rank = 1 and (second is null or n > second)").select("__codes", "known")
+        won = codes.join(ahead, "__codes").where(text.weighted_distance(F.col("number"), F.col("known"), 6.0) <= 6)
         open_ = rest.select(*[F.col(k).alias(f"__{k}") for k in by])
         found = same(won.join(open_, [won[k].eqNullSafe(open_[f"__{k}"]) for k in by], "left_semi"), "vote")
         out, rest = out.unionByName(found), _without(rest, found, by)
     reach = limit + 0.5
-    pairs = block_keys(rest.select("number").distinct(), "number").join(block_keys(known, "known"), "block").select("number", "known").distinct().where(F.abs(F.length("number") - F.length("known")) <= reach)
+    # A pair that shares several parts is taken at the first of them.
+    pairs = _blocked(rest.select("number").distinct(), "number").join(_blocked(known, "known"), ["__at", "__block"]).where(F.abs(F.length("number") - F.length("known")) <= reach)
+    pairs = pairs.where(~F.exists(F.slice(F.arrays_zip("__number", "__known"), F.lit(1), F.col("__at")), lambda x: x["__number"] == x["__known"])).select("number", "known")
     near = _nearest(pairs, ["number"], reach, gap).where(F.col("score") <= limit).select("number", "known")
     found = same(rest.join(near, "number"), "fuzzy")
     none = _without(rest, found, by).select(*by, F.col("number").alias("repaired"), F.lit("none").alias("how"))

@@ -149,6 +149,18 @@ def test_repair_by_page_against_a_sequential_model(spark):
     assert {how for _, how in expected.values()} == {"exact", "page", "vote", "fuzzy", "none"}
 
 
+def test_ballots_are_counted_once_for_the_same_codes(spark):
+    """300 lines with one code that many numbers have: ballots grow with the codes, not with codes times lines."""
+    votes = spark.createDataFrame([("c", f"9{i:04}BZX{i:05}000") for i in range(50)] + [("d", "70000BZX70000000")], "code string, number string")
+    read = spark.createDataFrame([(f"4{i:04}QQQ{i:05}111", f"p{i}", "c") for i in range(300)] + [("7000YYYX70000000", "p", "d"), ("7000YYYX70000000", "p", "c")], "number string, page string, code string")
+    got = repair.repair_numbers(read, votes, votes, page=["page"])
+    assert [r for r in rows(got, "number", "repaired", "how") if r[2] != "none"] == [] and got.count() == 301
+    alone = repair.repair_numbers(read.where("code = 'd'"), votes, votes, page=["page"])
+    assert rows(alone, "repaired", "how") == [("70000BZX70000000", "vote")]
+    counted = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "sum(lines#" in x]
+    assert counted and not any("number#" in x for x in counted)
+
+
 def test_runner_up_just_beyond_the_limit_counts(spark):
     """Nearest at 2.0, next at 2.4: too close to tell."""
     known = spark.createDataFrame([("AAAAAACCDDDDDDDD",), ("AAAAAAC8DDDDDDD0",)], "number string")
